@@ -93,3 +93,13 @@ def argmax(column: str | Column) -> Column:
     """First position of the largest entry, as a double."""
     column = F.col(column) if isinstance(column, str) else column
     return (F.array_position(column, F.array_max(column)) - 1).cast("double")
+
+
+def explode_matrix(df: DataFrame, matrix: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Dense matrix column to long rows ``(*keep, i, j, value)``."""
+    raw = df.select(*keep, F.unwrap_udt(F.col(matrix)).alias("_m"))
+    cells = raw.select(*keep, "_m.numRows", "_m.numCols", "_m.isTransposed", F.posexplode("_m.values").alias("_k", "value"))
+    by_row = F.col("isTransposed")
+    i = F.when(by_row, F.floor(F.col("_k") / F.col("numCols"))).otherwise(F.col("_k") % F.col("numRows"))
+    j = F.when(by_row, F.col("_k") % F.col("numCols")).otherwise(F.floor(F.col("_k") / F.col("numRows")))
+    return cells.select(*keep, i.cast("int").alias("i"), j.cast("int").alias("j"), "value")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("files", "relational")
+SECTIONS = ("files", "relational", "features", "statistics")
 
 
 def load():
