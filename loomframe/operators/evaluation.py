@@ -89,19 +89,16 @@ def threshold_table(df: DataFrame, score: str, label: str) -> DataFrame:
         F.sum(positive).cast("bigint").alias("pos"), F.sum(1 - positive).cast("bigint").alias("neg")
     )
     table = running_totals(per_score, "threshold", ["pos", "neg"], ascending=False)
-    totals = table.agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
-    # `totals` is a single row.
-    joined = table.join(F.broadcast(totals))
+    positives, negatives = table.agg(F.sum("pos")).scalar(), table.agg(F.sum("neg")).scalar()
     tp, fp = F.col("pos_upto"), F.col("neg_upto")
-    precision, recall = tp / (tp + fp), tp / F.col("p")
-    return joined.select(
+    return table.select(
         "threshold",
         tp.alias("tp"),
         fp.alias("fp"),
-        recall.alias("tpr"),
-        (fp / F.col("q")).alias("fpr"),
-        precision.alias("precision"),
-        F.when(tp > 0, 2 * precision * recall / (precision + recall)).otherwise(0.0).alias("f1"),
+        F.try_divide(tp, positives).alias("tpr"),
+        F.try_divide(fp, negatives).alias("fpr"),
+        (tp / (tp + fp)).alias("precision"),
+        (2 * tp / (tp + fp + positives)).alias("f1"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("files", "relational", "features", "statistics")
+SECTIONS = ("files", "relational", "features", "statistics", "supervised", "mining")
 
 
 def load():

@@ -160,7 +160,7 @@ def idf(spark, sf):
 
 def _word2vec(spark, sf):
     tokens = _tokens(spark, sf).select("doc_id", "tokens")
-    stage = Word2Vec(inputCol="tokens", outputCol="features", vectorSize=20, minCount=0, seed=7, numPartitions=4)
+    stage = Word2Vec(inputCol="tokens", outputCol="features", vectorSize=20, minCount=0, seed=7, numPartitions=8)
     return tokens, fitted(stage, tokens)
 
 

@@ -30,11 +30,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def violations(scored: DataFrame, broken: Column) -> DataFrame:
     """``(rows_scored, violations)``: how many rows were scored and how many break a defining property."""
-    return scored.agg(
+    marked = scored.select(F.coalesce(broken, F.lit(True)).cast("int").alias("broken"))
+    return marked.agg(
         F.count(F.lit(1)).alias("rows_scored"),
-        F.coalesce(F.sum(F.when(F.coalesce(broken, F.lit(True)), 1).otherwise(0)), F.lit(0))
-        .cast("bigint")
-        .alias("violations"),
+        F.coalesce(F.sum("broken"), F.lit(0)).cast("bigint").alias("violations"),
     )
 
 

@@ -181,11 +181,10 @@ CURVE_SQL = f"""WITH {LABELLED_SQL}, g AS (SELECT s, sum(y) AS pos, sum(1 - y) A
 
 @query(
     "eval_roc_curve",
-    f"""{CURVE_SQL} SELECT s AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(fp::DOUBLE / q, 8) AS fpr,
-        round(tp::DOUBLE / p, 8) AS tpr, round(tp::DOUBLE / (tp + fp), 8) AS "precision",
-        round(CASE WHEN tp > 0 THEN 2.0::DOUBLE * tp / (tp + fp + p) ELSE 0 END, 8) AS f1 FROM c""",
+    f"""{CURVE_SQL} SELECT s AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, fp::DOUBLE / q::DOUBLE AS fpr,
+        tp::DOUBLE / p::DOUBLE AS tpr, tp::DOUBLE / (tp + fp)::DOUBLE AS "precision", (2 * tp)::DOUBLE / (tp + fp + p)::DOUBLE AS f1
+        FROM c""",
 )
 def roc_curve(spark, sf):
     points = ev.threshold_table(_scored(spark, sf), "s", "y")
-    names = ["fpr", "tpr", "precision", "f1"]
-    return points.select("threshold", "tp", "fp", *[F.round(c, 8).alias(c) for c in names])
+    return points.select("threshold", "tp", "fp", "fpr", "tpr", "precision", "f1")
