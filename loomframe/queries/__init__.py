@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("files", "relational", "features", "statistics", "supervised", "mining")
+SECTIONS = ("files", "relational", "features", "statistics", "supervised", "mining", "selection", "jobs")
 
 
 def load():
