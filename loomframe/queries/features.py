@@ -41,7 +41,7 @@ from loomframe.functions import text as T, vectors as V
 from loomframe.operators import features as ops, ordering
 from loomframe.operators.relational import lookup
 from loomframe.operators.stages import apply, chain, fitted
-from loomframe.queries.registry import far, none_broken, query, r6, table, violations
+from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 
 SPACE = r"[ \t\n\x0B\f\r]"
 TOKENS_SQL = rf"string_split_regex(regexp_replace(lower(text), '{SPACE}+$', ''), '{SPACE}')"
@@ -49,7 +49,7 @@ STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in T.ENGLISH_STOP_WO
 
 
 def _tokens(spark, sf):
-    return apply(Tokenizer(inputCol="text", outputCol="tokens"), table(spark, sf, "documents").select("doc_id", "text"))
+    return apply(Tokenizer(inputCol="text", outputCol="tokens"), wide(spark, sf, "documents", "doc_id", "text"))
 
 
 def _digest(column):
@@ -75,7 +75,7 @@ def tokenize(spark, sf):
         SELECT doc_id, md5(array_to_string(w, '|')) AS digest, CAST(len(w) AS INTEGER) AS n FROM t""",
 )
 def regex_tokenize(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = wide(spark, sf, "documents", "doc_id", "text")
     words = apply(RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W"), docs)
     return words.select("doc_id", _digest("tokens"), F.size("tokens").alias("n"))
 
@@ -88,7 +88,7 @@ def regex_tokenize(spark, sf):
                CAST(len(w) AS INTEGER) AS n FROM b""",
 )
 def cjk_tokenize(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = wide(spark, sf, "documents", "doc_id", "text")
     words = apply(T.han_bigram_stages("text"), docs)
     return words.select(
         "doc_id", _digest("tokens"), F.md5(F.concat_ws("|", "bigrams")).alias("bigrams"), F.size("tokens").alias("n")
@@ -97,7 +97,7 @@ def cjk_tokenize(spark, sf):
 
 @query("feat_token_count", f"SELECT doc_id, CAST(len({TOKENS_SQL}) AS INTEGER) AS tokens FROM documents")
 def token_count(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.size(T.token_array("text")).alias("tokens"))
+    return wide(spark, sf, "documents", "doc_id", "text").select("doc_id", F.size(T.token_array("text")).alias("tokens"))
 
 
 @query(

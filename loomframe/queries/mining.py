@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loomframe.functions import text as T, vectors as V
 from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, similarity as sim
 from loomframe.operators.stages import apply, chain, fitted
-from loomframe.queries.registry import far, none_broken, query, r6, table, violations
+from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 from loomframe.session import materialise, scratch_path
 from loomframe.sources import models
 
@@ -17,7 +17,7 @@ SEED = 23
 
 
 def _embeddings(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", "label", V.array_vector("embedding").alias("features"))
+    return wide(spark, sf, "embeddings", "vec_id", "label", "embedding").select("vec_id", "label", V.array_vector("embedding").alias("features"))
 
 
 # ---- clustering
@@ -46,7 +46,7 @@ def bisecting(spark, sf):
 
 @query("clu_gmm", none_broken("lineitem"))
 def gmm(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
+    lines = wide(spark, sf, "lineitem", "l_quantity", "l_extendedprice").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
     rows = apply(VectorAssembler(inputCols=["l_quantity", "price"], outputCol="features"), lines)
     model = fitted(GaussianMixture(k=2, maxIter=20, seed=SEED), rows)
     p = V.vector_array("probability")
@@ -58,7 +58,7 @@ def gmm(spark, sf):
 
 @query("clu_lda", "SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS violations, CAST(30 AS BIGINT) AS terms FROM documents")
 def lda(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.token_set("text").alias("tokens"))
+    docs = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens"))
     counter = fitted(CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=5000, minDF=2), docs)
     counts = materialise(counter.transform(docs).select("doc_id", "features"), "counts")
     model = fitted(LDA(k=10, maxIter=10, seed=SEED), counts)
@@ -280,7 +280,7 @@ SET_WIDTH = 1 << 20
 
 
 def _token_sets(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.token_set("text").alias("tokens"))
+    docs = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens"))
     return apply(HashingTF(inputCol="tokens", outputCol="features", numFeatures=SET_WIDTH, binary=True), docs)
 
 
@@ -371,7 +371,7 @@ def similarity_jaccard(spark, sf):
     rows = _token_sets(spark, sf)
     group = F.sha2(F.concat_ws("\u0001", "tokens"), 256)
     joined = sim.similarity_join(_minhash(rows), rows, None, "doc_id", "features", 0.6, "jaccard", group=group)
-    sets = rows.select(F.col("doc_id").alias("id"), sim.jaccard_payload("features").alias("x"))
+    sets = rows.select(F.col("doc_id").alias("id"), sim.jaccard_entries("features").alias("x"))
     return _checked_links(joined, sets, sim.jaccard_distance, 0.6, rows)
 
 
@@ -380,6 +380,6 @@ def minhash_nn(spark, sf):
     rows = materialise(_token_sets(spark, sf), "sets")
     key = rows.orderBy("doc_id").first()["features"]
     near = sim.nearest(_minhash(rows), rows, key, 5).select("doc_id", "features", "distance")
-    again = sim.jaccard_distance(sim.jaccard_payload("features"), F.array(*[F.lit(int(i)) for i in key.indices]))
+    again = sim.jaccard_distance(sim.jaccard_entries("features"), F.array(*[F.lit(int(i)) for i in key.indices]))
     bad = near.filter(far(F.col("distance"), again, 1e-9)).agg(F.count(F.lit(1)))
     return rows.agg(F.count(F.lit(1)).alias("rows_scored")).withColumn("violations", bad.scalar())

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loomframe.session import balanced
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Chosen columns of a table for work that is heavy per row."""
+    return balanced(table(spark, sf, name).select(*columns))
+
+
 def violations(scored: DataFrame, broken: Column) -> DataFrame:
     """``(rows_scored, violations)``: how many rows were scored and how many break a defining property."""
     marked = scored.select(F.coalesce(broken, F.lit(True)).cast("int").alias("broken"))

@@ -45,7 +45,14 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/loomframe/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/loomframe-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder; frames read from there end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/loomframe-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -64,6 +71,16 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def balanced(scan: DataFrame) -> DataFrame:
+    """A file scan with at least as many partitions as the cluster has cores.
+
+    A table in few row groups would keep most cores idle through the per-row work up to the first shuffle, or
+    through every pass of a training loop. Scans that are wide enough, as large tables are, stay as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 @contextmanager
 def persisted(*frames: DataFrame):
     """Keep frames that several jobs read in memory (spilling to disk), then let them go."""
