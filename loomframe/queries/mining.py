@@ -28,7 +28,9 @@ def kmeans(spark, sf):
     rows = _embeddings(spark, sf)
     model = fitted(KMeans(k=3, maxIter=12, seed=SEED), rows)
     scored = model.transform(rows).withColumn("d", clu.centre_distances(model, "features"))
-    return violations(scored, F.get("d", F.col("prediction")) > F.array_min("d") + 1e-9)
+    one = rows.orderBy("vec_id").first()
+    alone = (F.col("vec_id") == one["vec_id"]) & (F.col("prediction") != model.predict(one["features"]))
+    return violations(scored, (F.get("d", F.col("prediction")) > F.array_min("d") + 1e-9) | alone)
 
 
 @query("clu_bisecting", none_broken("embeddings"))
@@ -46,7 +48,7 @@ def bisecting(spark, sf):
 
 @query("clu_gmm", none_broken("lineitem"))
 def gmm(spark, sf):
-    lines = wide(spark, sf, "lineitem", "l_quantity", "l_extendedprice").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
+    lines = table(spark, sf, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
     rows = apply(VectorAssembler(inputCols=["l_quantity", "price"], outputCol="features"), lines)
     model = fitted(GaussianMixture(k=2, maxIter=20, seed=SEED), rows)
     p = V.vector_array("probability")
@@ -123,12 +125,10 @@ def predict_pairs(spark, sf):
     ratings, model = _trained(spark, sf)
     pairs = ratings.select("user", "item")
     one = ratings.orderBy("user", "item").select("user", "item").first()
-    alone = model.predict(one["user"], one["item"]) if hasattr(model, "predict") else None
+    alone = rec.score_pair(model, one["user"], one["item"])
     scored = rec.with_factor_score(model.transform(pairs), model)
-    broken = far(F.col("prediction"), F.col("score"), 1e-4)
-    if alone is not None:
-        is_one = (F.col("user") == one["user"]) & (F.col("item") == one["item"])
-        broken = broken | (is_one & far(F.col("prediction"), F.lit(float(alone)), 1e-4))
+    is_one = (F.col("user") == one["user"]) & (F.col("item") == one["item"])
+    broken = far(F.col("prediction"), F.col("score"), 1e-4) | (is_one & far(F.col("prediction"), F.lit(alone), 1e-4))
     return violations(scored, broken)
 
 

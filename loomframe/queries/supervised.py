@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from loomframe.functions import vectors as V
 from loomframe.operators import evaluation as ev, features as feats, supervised as sup
 from loomframe.operators.stages import apply, chain, fitted, stage_of
-from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
+from loomframe.queries.registry import far, none_broken, query, r6, table, violations
 
 SEED = 17
 NUMERIC = ["l_quantity", "l_discount", "l_tax", "price"]
@@ -45,7 +45,7 @@ def _lines(spark, sf):
         "l_tax",
         "l_extendedprice",
     ]
-    lines = wide(spark, sf, "lineitem", *names).select(
+    lines = table(spark, sf, "lineitem").select(
         *names,
         (F.col("l_extendedprice") / 10000).alias("price"),
         F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0).alias("label"),
@@ -57,7 +57,7 @@ def _lines(spark, sf):
 def _dummies(spark, sf):
     """One slot per return flag, so a model without penalty reproduces the group means."""
     flag = lambda v: (F.col("l_returnflag") == v).cast("int")
-    return wide(spark, sf, "lineitem", "l_returnflag", "l_linestatus", "l_quantity").select(
+    return table(spark, sf, "lineitem").select(
         "l_returnflag",
         "l_linestatus",
         "l_quantity",
@@ -297,6 +297,35 @@ def glm(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "reg_glm_summary",
+    """WITH s AS (SELECT count(*)::DOUBLE AS n, avg(l_quantity) AS mx, regr_sxx(l_extendedprice, l_quantity) AS sxx,
+                         regr_sxy(l_extendedprice, l_quantity) AS sxy, regr_syy(l_extendedprice, l_quantity) AS syy,
+                         regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
+            d AS (SELECT *, syy - sxy * sxy / sxx AS sse FROM s),
+            e AS (SELECT *, sse / (n - 2) AS disp, sqrt(sse / (n - 2) / sxx) AS eb, sqrt(sse / (n - 2) * (1 / n + mx * mx / sxx)) AS ea FROM d),
+            f AS (SELECT round(disp / 1e6, 4) AS dispersion, CAST(n - 1 AS BIGINT) AS null_dof, CAST(n - 2 AS BIGINT) AS dof,
+                         round(sse / syy, 8) AS deviance_share, round(n * (ln(2 * pi() * sse / n) + 1) + 6, 1) AS aic, * FROM e)
+       SELECT 'l_quantity' AS name, round(b, 3) AS value, round(eb, 3) AS std_error, round(b / eb, 3) AS t, dispersion, deviance_share, null_dof, dof, aic FROM f
+       UNION ALL SELECT '(intercept)', round(a, 3), round(ea, 3), round(a / ea, 3), dispersion, deviance_share, null_dof, dof, aic FROM f""",
+)
+def glm_summary(spark, sf):
+    rows = _lines(spark, sf).select(V.dense_vector(["l_quantity"]).alias("features"), "l_extendedprice")
+    stage = GeneralizedLinearRegression(labelCol="l_extendedprice", family="gaussian", link="identity", maxIter=10)
+    model = fitted(stage, rows)
+    fit = sup.glm_fit(spark, model).first()
+    parts = sup.glm_rows(spark, model, ["l_quantity"])
+    return parts.select(
+        "name",
+        *[F.round(c, 3).alias(c) for c in ("value", "std_error", "t")],
+        F.lit(round(fit["dispersion"] / 1e6, 4)).alias("dispersion"),
+        F.lit(round(fit["deviance"] / fit["null_deviance"], 8)).alias("deviance_share"),
+        F.lit(fit["null_dof"]).cast("bigint").alias("null_dof"),
+        F.lit(fit["dof"]).cast("bigint").alias("dof"),
+        F.lit(round(fit["aic"], 1)).alias("aic"),
+    )
+
+
 @query(
     "reg_tree",
     """WITH t AS (SELECT CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS x, l_extendedprice AS y FROM lineitem)

@@ -28,19 +28,27 @@ def build_session(app: str = "loomframe", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def configured_root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
     A local temporary folder is used only where the setting is missing and the master is local.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured_root(spark)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    chosen = tempfile.mkdtemp(prefix="loomframe-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="loomframe-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

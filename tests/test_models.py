@@ -145,3 +145,20 @@ def test_empty_vectors_do_not_break_the_long_form(spark):
     df = spark.createDataFrame([(1, Vectors.sparse(4, [], []))], ["id", "v"])
     assert V.explode_vector(df, ["id"], "v", dense=False).count() == 0
     assert V.explode_vector(df, ["id"], "v").agg(F.sum("value")).first()[0] == 0.0
+
+
+def test_tree_and_centre_rows(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.clustering import KMeans
+
+    df = spark.createDataFrame([(Vectors.dense([float(i)]), float(i > 3)) for i in range(8)], ["features", "label"])
+    rows = sup.tree_rows(spark, DecisionTreeClassifier(maxDepth=1, seed=1).fit(df)).collect()
+    assert [(r["depth"], r["rule"].split(" ")[0]) for r in rows] == [(0, "If"), (1, "Predict:"), (0, "Else"), (1, "Predict:")]
+    centres = sup.centre_rows(spark, KMeans(k=2, seed=1).fit(df))
+    assert sorted(r["value"] for r in centres.collect()) == [1.5, 5.5]
+
+
+def test_one_pair_and_unknown_pair(spark):
+    model = rec.train(ratings(spark), seed=5, rank=3, iterations=2)
+    assert rec.score_pair(model, 0, 1) is not None
+    assert rec.score_pair(model, 0, 10_000) is None
