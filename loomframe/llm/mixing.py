@@ -62,16 +62,11 @@ def position(knots: Column, done: Column) -> Column:
     )
     whole = F.aggregate(area, F.lit(0.0), lambda s, x: s + x)
     wanted = done * whole
-    start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("sum"))
-    piece = F.aggregate(
-        area,
-        start,
-        lambda s, x: F.when(
-            (s["sum"] + x < wanted) & (s["i"] < F.size(area) - 1),
-            F.struct((s["i"] + 1).alias("i"), (s["sum"] + x).alias("sum")),
-        ).otherwise(s),
+    upto = F.transform(
+        F.sequence(F.lit(1), F.size(area)), lambda k: F.aggregate(F.slice(area, F.lit(1), k), F.lit(0.0), lambda s, x: s + x)
     )
-    i, rest = piece["i"], F.greatest(wanted - piece["sum"], F.lit(0.0))
+    i = F.least(F.size(F.filter(upto, lambda c: c < wanted)), F.size(area) - 1)
+    rest = F.greatest(wanted - F.when(i > 0, F.get(upto, i - 1)).otherwise(0.0), F.lit(0.0))
     a, b = knots[i], F.coalesce(F.get(knots, i + 1), knots[i])
     root = F.sqrt(F.greatest(a * a + 2 * (b - a) * rest, F.lit(0.0)))
     inside = F.when(pieces < 1, rest).when(a + root > 0, 2 * rest / (a + root)).otherwise(F.lit(0.0))

@@ -25,6 +25,8 @@ BLOCK_IDS = 1 << 18
 BLOCKS = "range int, block int, keys binary, null_keys binary, starts binary, first bigint, ids bigint, bits int, packed binary"
 #: Words whose characters the tokenizer treats one by one: ASCII but digits and the apostrophe, and accented letters.
 PLAIN = re.compile(r"[!-&(-/:-~À-ÖØ-öø-ÿ]+")
+#: What the pattern tells apart in them.
+RUNS = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -51,7 +53,7 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
 
 
 def word_tokenizer(path: str):
-    """``encode(words) -> ids of each`` for a vocabulary file whose tokens never reach over white space.
+    """``encode(words) -> (ids of all, number of ids of each)`` for a vocabulary file whose tokens never reach over white space.
 
     Plain words take a copy of the tokenizer without its normaliser and with simpler splitting; in them lower case is
     all that the normaliser does, and runs of letters and of other characters are all that the pattern tells apart.
@@ -66,51 +68,94 @@ def word_tokenizer(path: str):
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Punctuation("contiguous"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
     special = [t.content for t in whole.get_added_tokens_decoder().values()]
+    closes = np.zeros(whole.get_vocab_size() + 1, bool)
+    closes[[i for token, i in whole.get_vocab().items() if token.endswith("</w>")]] = True
 
-    def encode(words: list[bytes]) -> list[list[int]]:
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        found: list[list[int]] = [[]] * len(texts)
-        easy = [k for k, t in enumerate(texts) if PLAIN.fullmatch(t) and not ("<|" in t and any(s in t for s in special))]
-        hard = sorted(set(range(len(texts))) - set(easy))
-        for rows, tool, low in ((easy, plain, True), (hard, whole, False)):
-            # A few hundred words to a text: the calls cost more than the work otherwise.
-            for at in range(0, len(rows), 64 * 256):
-                part = rows[at : at + 64 * 256]
-                groups = [part[i : i + 256] if low else [part[i]] for i in range(0, len(part), 256 if low else 1)]
-                lines = [" ".join(texts[k].lower() if low else texts[k] for k in g) for g in groups]
-                for g, line, e in zip(groups, lines, tool.encode_batch(lines, add_special_tokens=False)):
-                    if not low:
-                        found[g[0]] = e.ids
-                        continue
-                    number = np.cumsum(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
-                    word = number[[a for a, _ in e.offsets]]
-                    ids, ends = e.ids, np.searchsorted(word, np.arange(len(g) + 1)).tolist()
-                    for k, a, b in zip(g, ends, ends[1:]):
-                        found[k] = ids[a:b]
-        return found
+        easy = np.array([bool(PLAIN.fullmatch(t)) and not ("<|" in t and any(s in t for s in special)) for t in texts], bool)
+        sizes = np.zeros(len(texts), np.int64)
+        easy_rows, hard_rows = np.flatnonzero(easy), np.flatnonzero(~easy)
+        low = [texts[k].lower() for k in easy_rows.tolist()]
+        # 256 words to a text: calls would cost more than the work otherwise. The last token of a run closes it.
+        lines = [" ".join(low[i : i + 256]) for i in range(0, len(low), 256)]
+        ids = [e.ids for e in plain.encode_batch_fast(lines, add_special_tokens=False)]
+        easy_ids = np.fromiter((i for e in ids for i in e), np.uint32, sum(map(len, ids)))
+        closed = np.flatnonzero(closes[easy_ids])
+        last = closed[np.cumsum([len(RUNS.findall(t)) for t in low]) - 1] if low else np.zeros(0, np.int64)
+        sizes[easy_rows] = np.diff(last, prepend=-1)
+        odd = [e.ids for e in whole.encode_batch_fast([texts[k] for k in hard_rows.tolist()], add_special_tokens=False)]
+        sizes[hard_rows] = [len(e) for e in odd]
+        flat = np.zeros(int(sizes.sum()), np.uint32)
+        where = np.repeat(easy, sizes)
+        flat[where] = easy_ids
+        flat[~where] = np.fromiter((i for e in odd for i in e), np.uint32, sum(map(len, odd)))
+        return flat, sizes
 
     return encode
 
 
+class WordMemory:
+    """The ids of words that a Python worker has met, by the words' hashes. Forgetting them changes no result."""
+
+    MOST = 4_000_000
+
+    def __init__(self, path: str):
+        self.encode = word_tokenizer(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def look_up(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(begin, size)`` in :attr:`flat` of the words with these hashes (sorted, distinct)."""
+        if len(self.keys) > self.MOST:
+            self.forget()
+        place = np.searchsorted(self.keys, hashes)
+        new = np.append(self.keys, np.uint64(0))[place] != hashes
+        if len(self.keys):
+            new |= place == len(self.keys)
+        else:
+            new[:] = True
+        if new.any():
+            ids, sizes = self.encode([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            at = place[new]
+            self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.size = np.insert(self.size, at, sizes)
+            self.keys = np.insert(self.keys, at, hashes[new])
+            self.flat = np.concatenate([self.flat, ids])
+            place = np.searchsorted(self.keys, hashes)
+        return self.begin[place], self.size[place]
+
+
+_MEMORY: dict[str, WordMemory] = {}
+
+
+def word_memory(path: str) -> WordMemory:
+    """This worker's memory for a vocabulary file."""
+    if path not in _MEMORY:
+        _MEMORY[path] = WordMemory(path)
+    return _MEMORY[path]
+
+
 def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, ids)``: the ids of every whole text and ``end_id`` behind them, as little-endian 32-bit integers.
 
-    A null text is encoded like an empty one. Each distinct word of an Arrow batch is encoded once.
+    A null text is encoded like an empty one. A worker encodes each word that it has not met before.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokenizer(path)
+        memory = word_memory(path)
         for whole in batches:
             for at in range(0, len(whole), 2048):
                 batch = whole.slice(at, 2048)
-                words, number, counts = distinct_words(*binary_parts(batch.column("text")))
-                of = encode(words)
-                sizes = np.array([len(x) for x in of], np.int64)
-                flat = np.fromiter((i for x in of for i in x), np.uint32, int(sizes.sum()))
-                begin = np.cumsum(sizes) - sizes
+                data, offsets = binary_parts(batch.column("text"))
+                hashes, starts, stops, number, counts = distinct_words(data, offsets)
+                begin, sizes = memory.look_up(hashes, data.tobytes(), starts, stops)
                 take = sizes[number]
                 ends = np.cumsum(take)
-                all_ids = flat[np.arange(int(take.sum())) + np.repeat(begin[number] - ends + take, take)]
+                all_ids = memory.flat[np.arange(int(take.sum())) + np.repeat(begin[number] - ends + take, take)]
                 edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
                 end = np.uint32(end_id).tobytes()
                 out = [all_ids[a:b].tobytes() + end for a, b in zip(edges[:-1], edges[1:])]

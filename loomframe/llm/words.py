@@ -116,17 +116,19 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
-def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """``(distinct words, the number of each word in order, number of words of each text)``; letters as they are."""
+def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(hashes, starts and ends of the distinct words, the number of each word in order, words of each text)``.
+
+    Letters stay as they are.
+    """
     spans = list(word_spans(data, offsets))
+    none = np.zeros(0, np.int64)
     if not spans:
-        return [], np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
+        return none.astype(np.uint64), none, none, none, np.zeros(len(offsets) - 1, np.int64)
     hashes = np.concatenate([_hashes(data, s, e, False) for s, e in spans])
     starts, ends = (np.concatenate(x) for x in zip(*spans))
-    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    return words, number, np.diff(np.searchsorted(starts, offsets))
+    found, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    return found, starts[first], ends[first], number, np.diff(np.searchsorted(starts, offsets))
 
 
 def shingle_hashes(hashes: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
