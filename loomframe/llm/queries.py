@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import mixing, packing, sharding
+from loomframe.llm import fingerprints, jaccard, mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,19 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint, its edited form's, and how alike they and the next document's are."""
+    return fingerprints.edited_fingerprints(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents whose three-word shingle sets share nine tenths of their union."""
+    found = jaccard.similar_sets(table(spark, sf, "documents"), 3, 9, 10)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 @query("op7_token_packing")
 def op7_token_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place, length and checksum, from the packed token files."""
