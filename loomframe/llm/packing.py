@@ -98,7 +98,7 @@ def word_tokenizer(path: str):
 class WordMemory:
     """The ids of words that a Python worker has met, by the words' hashes. Forgetting them changes no result."""
 
-    MOST = 4_000_000
+    MOST = 1_000_000
 
     def __init__(self, path: str):
         self.encode = word_tokenizer(path)
@@ -148,8 +148,8 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = word_memory(path)
         for whole in batches:
-            for at in range(0, len(whole), 2048):
-                batch = whole.slice(at, 2048)
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
                 data, offsets = binary_parts(batch.column("text"))
                 hashes, starts, stops, number, counts = distinct_words(data, offsets)
                 begin, sizes = memory.look_up(hashes, data.tobytes(), starts, stops)
@@ -217,7 +217,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(len(batch)):
+                row = batch.slice(at, 1).to_pylist()[0]
                 ids = unpack(row["packed"], row["bits"], 0, row["ids"]).astype("<u4")
                 starts = np.frombuffer(row["starts"], "<i8")
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts, starts[1:])]
