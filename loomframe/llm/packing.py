@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loomframe.llm.common import range_number, width
-from loomframe.llm.words import binary_parts, distinct_words, texts_of
+from loomframe.llm.words import Memory, binary_parts, distinct_words, gathered, texts_of
 from loomframe.session import scratch_path
 
 #: Ids in a block, about: a block is closed by the document that reaches this number.
@@ -95,47 +95,13 @@ def word_tokenizer(path: str):
     return encode
 
 
-class WordMemory:
-    """The ids of words that a Python worker has met, by the words' hashes. Forgetting them changes no result."""
+_MEMORY: dict[str, tuple] = {}
 
-    MOST = 1_000_000
 
-    def __init__(self, path: str):
-        self.encode = word_tokenizer(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def look_up(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(begin, size)`` in :attr:`flat` of the words with these hashes (sorted, distinct)."""
-        if len(self.keys) > self.MOST:
-            self.forget()
-        place = np.searchsorted(self.keys, hashes)
-        new = np.append(self.keys, np.uint64(0))[place] != hashes
-        if len(self.keys):
-            new |= place == len(self.keys)
-        else:
-            new[:] = True
-        if new.any():
-            ids, sizes = self.encode([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-            at = place[new]
-            self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(sizes) - sizes)
-            self.size = np.insert(self.size, at, sizes)
-            self.keys = np.insert(self.keys, at, hashes[new])
-            self.flat = np.concatenate([self.flat, ids])
-            place = np.searchsorted(self.keys, hashes)
-        return self.begin[place], self.size[place]
-
-
-_MEMORY: dict[str, WordMemory] = {}
-
-
-def word_memory(path: str) -> WordMemory:
-    """This worker's memory for a vocabulary file."""
+def word_memory(path: str) -> tuple:
+    """``(encode, memory of words' ids)`` of this worker for a vocabulary file."""
     if path not in _MEMORY:
-        _MEMORY[path] = WordMemory(path)
+        _MEMORY[path] = word_tokenizer(path), Memory(np.uint32)
     return _MEMORY[path]
 
 
@@ -146,16 +112,16 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = word_memory(path)
+        encode, memory = word_memory(path)
         for whole in batches:
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
                 data, offsets = binary_parts(batch.column("text"))
                 hashes, starts, stops, number, counts = distinct_words(data, offsets)
-                begin, sizes = memory.look_up(hashes, data.tobytes(), starts, stops)
-                take = sizes[number]
-                ends = np.cumsum(take)
-                all_ids = memory.flat[np.arange(int(take.sum())) + np.repeat(begin[number] - ends + take, take)]
+                raw = data.tobytes()
+                compute = lambda w: encode([raw[a:b] for a, b in zip(starts[w].tolist(), stops[w].tolist())])
+                begin, sizes = memory.look_up(hashes, compute)
+                all_ids, ends = gathered(memory.flat, begin[number], sizes[number])
                 edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
                 end = np.uint32(end_id).tobytes()
                 out = [all_ids[a:b].tobytes() + end for a, b in zip(edges[:-1], edges[1:])]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import fingerprints, jaccard, mixing, packing, sharding
+from loomframe.llm import fingerprints, jaccard, licences, mixing, packing, pieces, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,15 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document encoded and decoded with a SentencePiece model."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.round_trips(table(spark, sf, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Components of documents whose three-word shingle sets share nine tenths of their union."""
@@ -54,6 +63,45 @@ def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def _licence_sql() -> str:
+    """The rules as joins of known sentences: of a rule's runs the one that ends first, and begins last."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quote(t)}, {quote(i)})" for i, t in licences.SENTENCES.items())
+    found = []
+    for r in licences.RULES:
+        n = len(r.sentences)
+        joins = "".join(
+            f" JOIN k s{i} ON s{i}.doc_id = s0.doc_id AND s{i}.sentence = {quote(name)} AND s{i}.place - s{i - 1}.place BETWEEN 1 AND {r.gap + 1}"
+            for i, name in enumerate(r.sentences)
+            if i
+        )
+        found.append(
+            f"SELECT s0.doc_id, {quote(r.licence)} AS licence, true AS complete, {n} AS n, s0.place AS first, s{n - 1}.place AS last "
+            f"FROM k s0{joins} WHERE s0.sentence = {quote(r.sentences[0])}"
+        )
+    names = {r.licence: sorted({s for q in licences.RULES if q.licence == r.licence for s in q.sentences}) for r in licences.RULES}
+    members = ", ".join(f"({quote(name)}, {quote(s)})" for name, each in names.items() for s in each)
+    return f"""
+    WITH c AS (SELECT doc_id, regexp_split_to_array(text, '[\n\r]+|[.!?;:]+[ \t\n\r\f]') AS parts FROM documents),
+    d AS (SELECT doc_id, list_filter(list_transform(parts, x -> trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), x -> x <> '') AS said FROM c),
+    u AS (SELECT doc_id, unnest(said) AS said, unnest(range(len(said))) AS place FROM d),
+    k AS (SELECT doc_id, place, t.sentence FROM u JOIN (VALUES {known}) t(said, sentence) USING (said)),
+    f AS ({" UNION ALL ".join(found)}),
+    w AS (SELECT *, row_number() OVER (PARTITION BY doc_id, licence ORDER BY n DESC, last, first DESC) AS nth FROM f WHERE complete),
+    p AS (SELECT doc_id, m.licence, count(DISTINCT k.sentence) AS n, min(place) AS first, max(place) AS last
+          FROM k JOIN (VALUES {members}) m(licence, sentence) USING (sentence) GROUP BY ALL)
+    SELECT doc_id, p.licence, nth IS NOT NULL AS complete, coalesce(w.n, p.n)::INT AS n_sentences,
+           coalesce(w.first, p.first)::INT AS first_sentence, coalesce(w.last, p.last)::INT AS last_sentence
+    FROM p LEFT JOIN (SELECT * FROM w WHERE nth = 1) w USING (doc_id, licence)
+    """
+
+
+@query("op6_licence_scan", _licence_sql())
+def op6_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The licences named in each document."""
+    return licences.recognised(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op7_token_packing")
 def op7_token_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place, length and checksum, from the packed token files."""

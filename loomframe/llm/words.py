@@ -57,7 +57,7 @@ def joined_parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), offsets
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+def _cuts(data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray) -> Iterator[tuple[int, int]]:
     """Stretches of about CHUNK bytes that cut no word."""
     at, ends = 0, offsets
     while at < len(data):
@@ -68,7 +68,7 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
                 to = int(ends[k])
             else:  # inside one long text: cut behind a space
                 while to < len(data):
-                    gap = np.flatnonzero(SPACES[data[to : to + CHUNK]])
+                    gap = np.flatnonzero(spaces[data[to : to + CHUNK]])
                     to = min(to + (int(gap[0]) + 1 if len(gap) else CHUNK), len(data))
                     if len(gap):
                         break
@@ -77,10 +77,10 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray = SPACES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(starts, ends)`` of the words, a stretch at a time, as places in ``data``."""
-    for at, to in _cuts(data, offsets):
-        word = ~SPACES[data[at:to]]
+    for at, to in _cuts(data, offsets, spaces):
+        word = ~spaces[data[at:to]]
         first, last = word.copy(), word.copy()
         first[1:] &= ~word[:-1]
         last[:-1] &= ~word[1:]
@@ -116,12 +116,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
-def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def distinct_words(data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(hashes, starts and ends of the distinct words, the number of each word in order, words of each text)``.
 
     Letters stay as they are.
     """
-    spans = list(word_spans(data, offsets))
+    spans = list(word_spans(data, offsets, spaces))
     none = np.zeros(0, np.int64)
     if not spans:
         return none.astype(np.uint64), none, none, none, np.zeros(len(offsets) - 1, np.int64)
@@ -131,6 +131,45 @@ def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return found, starts[first], ends[first], number, np.diff(np.searchsorted(starts, offsets))
 
 
+class Memory:
+    """Arrays that a Python worker has computed, by 64-bit hashes of what they come from.
+
+    Beyond ``most`` entries all are forgotten, which changes no result.
+    """
+
+    def __init__(self, kind: type, most: int = 1_000_000):
+        self.kind, self.most = kind, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.kind)
+
+    def look_up(self, hashes: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
+        """``(begin, size)`` in :attr:`flat` for sorted distinct hashes; ``compute(which) -> (flat, sizes)`` of new ones."""
+        if len(self.keys) > self.most:
+            self.forget()
+        place = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != hashes[inside]
+        if new.any():
+            flat, sizes = compute(np.flatnonzero(new))
+            at = place[new]
+            self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.size = np.insert(self.size, at, sizes)
+            self.keys = np.insert(self.keys, at, hashes[new])
+            self.flat = np.concatenate([self.flat, flat])
+            place = np.searchsorted(self.keys, hashes)
+        return self.begin[place], self.size[place]
+
+
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(the given stretches of flat one behind the other, where each ends)``."""
+    ends = np.cumsum(size)
+    return flat[np.arange(int(size.sum())) + np.repeat(begin - ends + size, size)], ends
+
+
 def shingle_hashes(hashes: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """``(hashes of all runs of that many words, number of them of each text)``.
 
