@@ -94,6 +94,7 @@ def plan(sized: DataFrame, schedules: Sequence[Sequence[float]], share: float, c
     words before it, and is taken whole if the middle of it lies below the target. So the words taken miss the target
     by half a document at most, and no document comes more than ``cap`` times. Sizes of 0 take nothing.
     """
+    sized = materialise(sized, "sized")
     knots = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in schedules])
     areas = F.array(*[F.lit(float(_area(s))) for s in schedules])
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
