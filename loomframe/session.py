@@ -79,6 +79,16 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialise` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if f"/loomframe-{spark.sparkContext.applicationId}/" in folder:
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def balanced(scan: DataFrame) -> DataFrame:
     """A file scan with at least as many partitions as the cluster has cores.
 
