@@ -102,7 +102,9 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    pairs = members.where("id <> pivot").select("part", F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    others = members.where("id <> pivot")
+    # A pair may meet in two bands; one sketch of it is enough.
+    pairs = others.groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(F.min("part").alias("part"))
     left = payloads.select("part", F.col("id").alias("a"), F.col("n").alias("nx"), F.col("payload").alias("x"))
     right = payloads.select("part", F.col("id").alias("b"), F.col("n").alias("ny"), F.col("payload").alias("y"))
     near = pairs.join(right, ["part", "b"]).join(left, ["part", "a"]).select("a", "b", "x", "y", "nx", "ny")
@@ -110,11 +112,11 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
     links = materialise(verify(near), "links")
     labels = components(links)
 
-    found = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # The pivot has met all rows of its key; what is left are keys whose other rows are of several components.
+    found = others.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    found = materialise(found, "found")
     mixed = found.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    # The pivot has met all rows of its key: rows of more components than the pivot's are left where two others differ.
-    open_keys = mixed.where("low < high").select("key")
-    rest = materialise(found.join(open_keys, "key", "left_semi"), "rest")
+    rest = found.join(mixed.where("low < high").select("key"), "key", "left_semi")
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / TILE)).cast("int")
     rows = rest.join(payloads, ["id", "part"]).withColumn("chunk", chunk)
     chunks = rows.groupBy("key", "chunk").agg(F.collect_list(F.struct("id", "component", "n", "payload")).alias("rows"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.candidates import joined, verified
 from loomframe.llm.words import binary_parts, mix, shingle_sets, texts_of
-from loomframe.session import materialise
+from loomframe.session import drop_written, materialise
 
 ROWS = "id bigint, n bigint, low bigint, high bigint, part int, payload binary"
 
@@ -47,7 +47,8 @@ class Bands:
         """The blocks of a set's sketch, 64 bits each."""
         blocks = int(self.allowed(2 * band[2])) + 1
         bits = 64 * blocks
-        place = mix(items + np.uint64(band[0] + 1) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bits)
+        salt = np.array([band[0] + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        place = mix(items + salt) % np.uint64(bits)
         odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
         return np.packbits(odd).view(np.uint64)
 
@@ -122,12 +123,13 @@ def similar_sets(
     """
     bands = Bands(numerator, denominator)
     rows = materialise(described(docs, bands, words, id_col, text_col), "sketches")
-    own = rows.where("nth = 0").select("id", "n", "low", "high")
+    own = materialise(rows.where("nth = 0").select("id", "n", "low", "high"), "own")
     classes = own.where("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
     classes = materialise(classes, "classes")
     firsts = classes.select(F.col("rep").alias("id"))
     sketches = rows.where("part >= 0").join(firsts, "id", "left_semi").select("id", "part", "n", "payload")
     sketches = materialise(sketches, "firsts")
+    drop_written(rows)
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(docs, pairs, words, numerator, denominator, id_col, text_col)
