@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomframe.llm.words import _hashes, Memory, binary_parts, distinct_words, gathered, joined_parts, texts_of
+from loomframe.llm.words import _hashes, Memory, as_bytes, binary_parts, distinct_words, gathered, joined_parts, texts_of
 
 SPACE = "\N{LOWER ONE EIGHTH BLOCK}"
 # Kinds of pieces and of models in the protobuf.
@@ -213,15 +213,40 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
                 ids = tool.encode(*binary_parts(batch.column("text")))
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = pa.array(np.concatenate(ids).astype(np.int32))
                 in_bytes = pa.array([int(tool.is_byte[x].sum()) for x in ids], pa.int64())
-                yield pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(pa.array(offsets), values), in_bytes], ["id", "ids", "n_bytes"])
+                yield pa.record_batch([batch.column("id"), _lists(ids), in_bytes], ["id", "ids", "n_bytes"])
 
     rows = texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     return rows.mapInArrow(run, "id bigint, ids array<int>, n_bytes bigint")
 
 
+def with_ids(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs`` but the text, with ``ids``; an ``ids`` column of ``docs`` is replaced.
+
+    A text that its ids do not decode to, as happens with the model's own marks in it, keeps its ids: they are what
+    the model makes of it.
+    """
+    fields = [f for f in docs.schema.fields if f.name not in (text_col, "ids")]
+    rows = docs.select(*[f"`{f.name}`" for f in fields], as_bytes(text_col).alias("_text"))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "ids array<int>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = codec(path)
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
+                rest = [batch.column(k) for k in range(len(fields))]
+                yield pa.record_batch([*rest, _lists(tool.encode(*binary_parts(batch.column(len(fields)))))], [*[f.name for f in fields], "ids"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
     """``(id, text)`` from ``(id, ids)``; null ids give an empty text."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import fingerprints, jaccard, licences, mixing, packing, pieces, sharding
+from loomframe.llm import fingerprints, jaccard, licences, mixing, packing, pieces, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,11 @@ def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of each document a mix of all sources takes, at weights 3, 1, 2 in turn."""
     planned = mixing.plan(mixing.measured(table(spark, sf, "documents")), [[3], [1], [2]], 1.5, 2)
     return planned.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's perplexity, its language's limit and whether it is kept."""
+    docs = table(spark, sf, "documents")
+    found = quality.judged(docs, table(spark, sf, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "log10_ppl", F.col("limit").alias("lang_limit"), "kept")
