@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import fingerprints, jaccard, licences, mixing, packing, pieces, quality, sharding
+from loomframe.llm import fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,6 +153,12 @@ def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return planned.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op9_lm_scores")
+def op9_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's score under the n-gram model of nine tenths of them, and under single words."""
+    return ngrams.scores(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op10_quality_classifier")
 def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's perplexity, its language's limit and whether it is kept."""
