@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
+from loomframe.llm import embeddings, fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,12 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op3_embedding_copies")
+def op3_embedding_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """The links and components of all vectors at a cosine of 0.9."""
+    return embeddings.near_vectors(table(spark, sf, "embeddings"), 0.9).withColumnRenamed("id", "vec_id")
+
+
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded and decoded with a SentencePiece model."""
