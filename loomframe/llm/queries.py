@@ -89,7 +89,7 @@ def _licence_sql() -> str:
     members = ", ".join(f"({quote(name)}, {quote(s)})" for name, each in names.items() for s in each)
     return f"""
     WITH c AS (SELECT doc_id, regexp_split_to_array(text, '[\n\r]+|[.!?;:]+[ \t\n\r\f]') AS parts FROM documents),
-    d AS (SELECT doc_id, list_filter(list_transform(parts, x -> trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), x -> x <> '') AS said FROM c),
+    d AS (SELECT doc_id, list_filter(list_transform(parts, lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS said FROM c),
     u AS (SELECT doc_id, unnest(said) AS said, unnest(range(len(said))) AS place FROM d),
     k AS (SELECT doc_id, place, t.sentence FROM u JOIN (VALUES {known}) t(said, sentence) USING (said)),
     f AS ({" UNION ALL ".join(found)}),
