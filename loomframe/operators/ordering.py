@@ -1,8 +1,8 @@
 """Global order without a global sort in one task: ranks, running totals and exact quantiles.
 
 All work is on one row per distinct value, so a value shared by a third of the table is a single row.
-Values are cut into ranges by a bounded sample; totals of the ranges are summed once, and the running sum
-inside each range is an ordinary partitioned window.
+Values are range-partitioned; totals of the ranges are summed once, and the running sum inside each range is an
+ordinary partitioned window.
 """
 
 from __future__ import annotations
@@ -14,38 +14,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomframe.session import materialise
 
-SAMPLE_PER_RANGE = 16
-
 
 def value_counts(df: DataFrame, column: str, **sums: Column) -> DataFrame:
     """One row per distinct value with its row count ``n`` and any further sums."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(k) for k, e in sums.items()])
 
 
-def _range_column(df: DataFrame, key: str, ranges: int) -> Column:
-    """Range number of the key; the sample that sets the cuts has at most 16 values per range."""
-    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(ranges * SAMPLE_PER_RANGE).collect()
-    values = sorted(row[0] for row in sample if row[0] is not None)
-    cuts = sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
-    if not cuts:
-        return F.lit(0)
-    column = F.col(key)
-    literals = F.array(*[F.lit(c) for c in cuts])
-    return F.coalesce(F.size(F.filter(literals, lambda c: c <= column)), F.lit(-1))
-
-
 def running_totals(
     df: DataFrame, key: str, totals: Sequence[str], ascending: bool = True, ranges: int | None = None
 ) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_upto`` (exclusive and inclusive running sums in key order).
 
-    ``df`` must hold one row per key value. It is written to the shared folder once, as the cuts, the
-    range totals and the result all read it.
+    ``df`` must hold one row per key value. It is range-partitioned into as many ranges as the session shuffles to,
+    so the width follows the setting for the size of the data, and written to the shared folder once with the
+    number of its range, as the range totals and the result both read it.
     """
     spark = df.sparkSession
-    ranges = ranges or max(1, min(256, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    table = materialise(df, "running")
-    table = table.withColumn("_range", _range_column(table, key, ranges))
+    ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(ranges, F.col(key).asc_nulls_first())
+    table = materialise(ranged.withColumn("_range", F.spark_partition_id()), "running")
     direction = (lambda c: F.col(c).asc_nulls_first()) if ascending else (lambda c: F.col(c).desc_nulls_last())
     per_range = table.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     earlier = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
@@ -53,7 +40,7 @@ def running_totals(
         F.col("_range"), *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}_off") for c in totals]
     )
     inside = Window.partitionBy("_range").orderBy(direction(key)).rowsBetween(Window.unboundedPreceding, 0)
-    # `offsets` has one row per range, at most 258.
+    # `offsets` has one row per range, as many as shuffle partitions.
     joined = table.join(F.broadcast(offsets), "_range")
     upto = {f"{c}_upto": F.sum(c).over(inside) + F.col(f"_{c}_off") for c in totals}
     out = joined.withColumns(upto)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.stat import ChiSquareTest, Correlation
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,6 +35,24 @@ def rank_correlation(df: DataFrame, first: str, second: str) -> DataFrame:
     return sums.select((cov / F.sqrt(va * vb)).alias("correlation"))
 
 
+def rank_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, value)``: Spearman correlation of all pairs of scalar columns, ties at their average rank.
+
+    Ranks are those of distinct values, so a value that most rows share is one row; one aggregate gives all pairs.
+    """
+    ranked = df.select(*columns)
+    for i, column in enumerate(columns):
+        ranks = average_ranks(df.where(F.col(column).isNotNull()), column).select(column, F.col("rank").alias(f"_rank{i}"))
+        ranked = ranked.join(ranks, column)
+    pairs = [(i, j) for i in range(len(columns)) for j in range(len(columns))]
+    found = ranked.agg(*[F.corr(f"_rank{i}", f"_rank{j}").alias(f"c{i}_{j}") for i, j in pairs if i < j] or [F.count(F.lit(1)).alias("n")])
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.lit(1.0) if i == j else F.col(f"c{min(i, j)}_{max(i, j)}")).alias("value"))
+        for i, j in pairs
+    ]
+    return found.select(F.explode(F.array(*cells)).alias("c")).select("c.i", "c.j", "c.value")
+
+
 def independence(df: DataFrame, vector: str, label: str) -> DataFrame:
     """``(featureIndex, pValue, degreesOfFreedom, statistic)`` of the chi-square test per feature."""
     return ChiSquareTest.test(df, vector, label, True)

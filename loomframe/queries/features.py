@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.feature import (
     DCT,
-    IDF,
     PCA,
     Binarizer,
     Bucketizer,
-    CountVectorizer,
     ElementwiseProduct,
     FeatureHasher,
     HashingTF,
@@ -42,6 +40,7 @@ from loomframe.operators import features as ops, ordering
 from loomframe.operators.relational import lookup
 from loomframe.operators.stages import apply, chain, fitted
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
+from loomframe.session import training_width
 
 SPACE = r"[ \t\n\x0B\f\r]"
 TOKENS_SQL = rf"string_split_regex(regexp_replace(lower(text), '{SPACE}+$', ''), '{SPACE}')"
@@ -140,9 +139,7 @@ TERMS_SQL = f"""t AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents
     f"WITH {TERMS_SQL} SELECT doc_id, term, CAST(n AS DOUBLE) AS n FROM c JOIN d USING (term)",
 )
 def count_vectorize(spark, sf):
-    tokens = _tokens(spark, sf).select("doc_id", "tokens")
-    model = fitted(CountVectorizer(inputCol="tokens", outputCol="counts", minDF=2), tokens)
-    return ops.term_rows(model.transform(tokens), "doc_id", "counts", model)
+    return ops.term_counts(_tokens(spark, sf), "doc_id", "tokens", min_df=2).select("doc_id", "term", "n")
 
 
 @query(
@@ -151,16 +148,13 @@ def count_vectorize(spark, sf):
         SELECT doc_id, term, round(n * ln((m + 1.0) / (df + 1.0)), 6) + 0.0 AS weight FROM c JOIN d USING (term), m""",
 )
 def idf(spark, sf):
-    tokens = _tokens(spark, sf).select("doc_id", "tokens")
-    counter = fitted(CountVectorizer(inputCol="tokens", outputCol="counts", minDF=2), tokens)
-    weighted = apply(IDF(inputCol="counts", outputCol="tfidf"), counter.transform(tokens))
-    rows = ops.term_rows(weighted, "doc_id", "tfidf", counter, "weight")
+    rows = ops.term_weights(_tokens(spark, sf), "doc_id", "tokens", min_df=2)
     return rows.withColumn("weight", r6("weight"))
 
 
 def _word2vec(spark, sf):
     tokens = _tokens(spark, sf).select("doc_id", "tokens")
-    stage = Word2Vec(inputCol="tokens", outputCol="features", vectorSize=20, minCount=0, seed=7, numPartitions=8)
+    stage = Word2Vec(inputCol="tokens", outputCol="features", vectorSize=20, minCount=0, seed=7, numPartitions=training_width())
     return tokens, fitted(stage, tokens)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
@@ -75,12 +74,12 @@ def flag_encode(spark, sf):
 
 @query(
     "rel_band",
-    """SELECT c_custkey, CASE WHEN c_acctbal > 5500 THEN 'old' WHEN c_acctbal > 3000 THEN 'middle'
-                              WHEN c_acctbal > 1800 THEN 'young' ELSE 'child' END AS level FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_acctbal > 5500 THEN 'rich' WHEN c_acctbal > 3000 THEN 'fair'
+                              WHEN c_acctbal > 1800 THEN 'low' ELSE 'bare' END AS level FROM customer""",
 )
 def banded(spark, sf):
-    bounds = [(5500.0, "old"), (3000.0, "middle"), (1800.0, "young")]
-    return table(spark, sf, "customer").select("c_custkey", rel.band("c_acctbal", bounds, "child").alias("level"))
+    bounds = [(5500.0, "rich"), (3000.0, "fair"), (1800.0, "low")]
+    return table(spark, sf, "customer").select("c_custkey", rel.band("c_acctbal", bounds, "bare").alias("level"))
 
 
 @query("rel_shift_category", "SELECT l_orderkey, l_linenumber - 1 AS slot FROM lineitem")
@@ -140,22 +139,28 @@ def rename(spark, sf):
 
 @query(
     "rel_sql_transform",
-    """SELECT l_orderkey, l_linenumber, l_quantity AS v1, l_tax AS v2, round(l_quantity + l_tax, 6) + 0.0 AS v3,
-              round(l_quantity * l_tax, 6) + 0.0 AS v4 FROM lineitem""",
+    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) + 0.0 AS net_price,
+              round(l_extendedprice * (1 - l_discount) * l_tax, 6) + 0.0 AS tax_due,
+              CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS unit_price FROM lineitem""",
 )
 def sql_transform(spark, sf):
+    """Net price, tax and unit price of every line, from one statement over whatever frame comes in."""
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("v1"), F.col("l_tax").alias("v2")
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
     )
-    out = rel.sql_stage(lines, "SELECT *, (v1 + v2) AS v3, (v1 * v2) AS v4 FROM __THIS__")
-    return out.withColumns({"v3": r6("v3"), "v4": r6("v4")})
+    statement = """
+        WITH priced AS (SELECT l_orderkey, l_linenumber, l_tax, floor(l_extendedprice / l_quantity) AS unit_price,
+                               l_extendedprice * (1 - l_discount) AS net_price FROM __THIS__)
+        SELECT l_orderkey, l_linenumber, net_price, net_price * l_tax AS tax_due, unit_price FROM priced"""
+    out = rel.sql_stage(lines, statement)
+    return out.withColumns({c: r6(c) for c in ("net_price", "tax_due")})
 
 
 @query(
     "rel_vector_build",
     """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings)
        SELECT vec_id, count(*) AS dense_size, round(sum(x), 6) + 0.0 AS dense_sum, count(*) FILTER (x > 0) AS sparse_entries,
-              round(sum(x) FILTER (x > 0), 6) + 0.0 AS sparse_sum FROM e GROUP BY 1""",
+              coalesce(round(sum(x) FILTER (x > 0), 6), 0) + 0.0 AS sparse_sum FROM e GROUP BY 1""",
 )
 def vector_build(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", V.array_vector("embedding").alias("dense"))
@@ -167,7 +172,8 @@ def vector_build(spark, sf):
     dense = rows.select(
         "vec_id", F.size(V.vector_array("dense")).cast("bigint").alias("dense_size"), r6(total).alias("dense_sum")
     )
-    return dense.join(stored, "vec_id")
+    # A vector without a positive entry has no cells to build from: an empty sparse vector.
+    return dense.join(stored, "vec_id", "left").fillna({"sparse_entries": 0, "sparse_sum": 0.0})
 
 
 @query(
@@ -315,10 +321,9 @@ def key_split(spark, sf):
         FROM documents""",
 )
 def register_call(spark, sf):
-    @F.pandas_udf("int")
-    def count_tokens(tokens: pd.Series) -> pd.Series:
-        return tokens.map(len).astype("int32")
-
-    spark.udf.register("countTokens", count_tokens)
-    words = F.split(F.regexp_replace(F.lower("text"), r"\s+$", ""), r"\s")
-    return table(spark, sf, "documents").select("doc_id", F.call_function("countTokens", words).alias("tokens"))
+    """A registered SQL function: it is inlined into the plan, so no token leaves the JVM."""
+    spark.sql(
+        r"""CREATE OR REPLACE TEMPORARY FUNCTION countTokens(line STRING) RETURNS INT
+            RETURN size(split(regexp_replace(lower(line), '\\s+$', ''), '\\s'))"""
+    )
+    return table(spark, sf, "documents").select("doc_id", F.call_function("countTokens", F.col("text")).alias("tokens"))

@@ -40,7 +40,7 @@ def corr_pearson(spark, sf):
         FROM u, p, q GROUP BY 1, 2""",
 )
 def corr_spearman(spark, sf):
-    return st.correlation(_numeric(spark, sf), "features", "spearman").withColumn("value", r6("value"))
+    return st.rank_correlations(table(spark, sf, "lineitem"), NUMERIC).withColumn("value", r6("value"))
 
 
 @query(

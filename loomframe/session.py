@@ -89,6 +89,11 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def training_width() -> int:
+    """Tasks the active session runs at once: the width of training steps whose estimator wants a number."""
+    return max(1, SparkSession.getActiveSession().sparkContext.defaultParallelism)
+
+
 def balanced(scan: DataFrame) -> DataFrame:
     """A file scan with at least as many partitions as the cluster has cores.
 
