@@ -50,7 +50,7 @@ def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def totals(rows: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndarray]:
-    """``(N, V, training texts, frequent words, their counts)`` of ``(text, held)``.
+    """``(N, V, training texts, frequent first words, their counts)`` of ``(text, held)``; the start is one of them.
 
     The driver sees a row of sums and at most FREQUENT words.
     """
@@ -67,8 +67,9 @@ def totals(rows: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndarray]:
     row = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), texts.alias("texts")).first()
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    words, counts = np.append(words, START), np.append(np.array([r["n"] for r in top], np.int64), row["texts"] or 0)
     order = np.argsort(words)
-    return row["n"] or 0, row["v"], row["texts"] or 0, words[order], np.array([r["n"] for r in top], np.int64)[order]
+    return row["n"] or 0, row["v"], row["texts"] or 0, words[order], counts[order]
 
 
 def _in(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -95,12 +96,13 @@ class Needs:
         self.pair_context = kinds[pairs // max(1, len(self.kinds))]
         self.pair_word = self.kinds[pairs % max(1, len(self.kinds))]
         self.word_shard = (mix(self.kinds) % np.uint64(shards)).astype(np.int64)
-        by = np.where(_in(frequent, self.pair_context), self.pair_context ^ self.pair_word, self.pair_context)
+        self.spread = _in(frequent, self.pair_context)
+        by = np.where(self.spread, self.pair_context ^ self.pair_word, self.pair_context)
         self.pair_shard = (mix(by) % np.uint64(shards)).astype(np.int64)
 
     def orders(self) -> tuple[np.ndarray, np.ndarray]:
-        """Words and pairs in the order of their shards."""
-        return np.argsort(self.word_shard, kind="stable"), np.argsort(self.pair_shard, kind="stable")
+        """Words and pairs in the order of their shards, a shard's pairs of frequent first words last."""
+        return np.argsort(self.word_shard, kind="stable"), np.argsort(2 * self.pair_shard + self.spread, kind="stable")
 
 
 def _six(values: np.ndarray) -> bytes:
@@ -113,7 +115,11 @@ def _from_six(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-ASKED = "shard int, batch int, words binary, counts binary, contexts binary, followers binary, next binary, pairs binary"
+# A first word that is not frequent is in its pairs' shard as a word, so the number of its followers names it.
+ASKED = (
+    "shard int, batch int, words binary, counts binary, followers binary, contexts binary, context_followers binary, "
+    "next binary, pairs binary"
+)
 ANSWERED = "batch int, shard int, counts binary, codes binary"
 
 
@@ -126,23 +132,23 @@ def _ask(shards: int, frequent: np.ndarray):
         pairs = np.bincount(need.pair_of[trained], minlength=len(need.pair_word))
         by_word, by_pair = need.orders()
         w_ends = np.searchsorted(need.word_shard[by_word], np.arange(shards + 1))
-        p_ends = np.searchsorted(need.pair_shard[by_pair], np.arange(shards + 1))
+        p_ends = np.searchsorted((2 * need.pair_shard + need.spread)[by_pair], np.arange(2 * shards + 1))
         rows = []
         for s in range(shards):
-            w, p = by_word[w_ends[s] : w_ends[s + 1]], by_pair[p_ends[s] : p_ends[s + 1]]
-            contexts, followers = np.unique(need.pair_context[p], return_counts=True)
-            rows.append(
-                (s, batch, need.kinds[w].tobytes(), words[w].astype("<u4").tobytes(), contexts.tobytes(),
-                 followers.astype("<u4").tobytes(), _six(need.pair_word[p]), pairs[p].astype("<u4").tobytes())
-            )
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+            w, p = by_word[w_ends[s] : w_ends[s + 1]], by_pair[p_ends[2 * s] : p_ends[2 * s + 2]]
+            near, far = p[: p_ends[2 * s + 1] - p_ends[2 * s]], p[p_ends[2 * s + 1] - p_ends[2 * s] :]
+            of = np.searchsorted(need.kinds[w], need.pair_context[near])
+            contexts, followers = np.unique(need.pair_context[far], return_counts=True)
+            columns = (need.kinds[w], words[w].astype("<u4"), np.bincount(of, minlength=len(w)).astype("<u4"), contexts, followers.astype("<u4"))
+            rows.append((s, batch, *[c.tobytes() for c in columns], _six(need.pair_word[p]), pairs[p].astype("<u4").tobytes()))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 7]
         names = [f.split()[0] for f in ASKED.split(", ")]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return run
 
 
-def _answer(texts: int, frequent: np.ndarray, frequent_counts: np.ndarray, smoothing: float):
+def _answer(frequent: np.ndarray, frequent_counts: np.ndarray, smoothing: float):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         # Words.
@@ -152,8 +158,13 @@ def _answer(texts: int, frequent: np.ndarray, frequent_counts: np.ndarray, smoot
         total = np.bincount(number, counts, minlength=len(kinds)).astype(np.int64)[number]
         word_ends = np.cumsum([len(x) for x in each])
         # Pairs: distinct ones with their numbers in training texts.
-        followers = np.concatenate([np.frombuffer(r["followers"], "<u4") for r in rows]).astype(np.int64)
-        contexts, rank = np.unique(np.concatenate([np.frombuffer(r["contexts"], "<u8") for r in rows]), return_inverse=True)
+        firsts, followers = [], []
+        for r, own in zip(rows, each):
+            counted = np.frombuffer(r["followers"], "<u4")
+            firsts += [own[counted > 0], np.frombuffer(r["contexts"], "<u8")]
+            followers += [counted[counted > 0], np.frombuffer(r["context_followers"], "<u4")]
+        followers = np.concatenate(followers).astype(np.int64)
+        contexts, rank = np.unique(np.concatenate(firsts), return_inverse=True)
         nexts = [_from_six(r["next"]) for r in rows]
         follower, place = np.unique(np.concatenate(nexts), return_inverse=True)
         pair = np.repeat(rank, followers) * np.int64(len(follower)) + place
@@ -241,7 +252,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", smoo
     dealt = F.pmod(F.xxhash64("id", "text"), F.lit(count)).cast("int")
     batches = rows.withColumn("batch", dealt).repartition(count, "batch")
     asked = batches.groupBy("batch").applyInArrow(_ask(shards, frequent), ASKED)
-    answered = asked.repartition(max(width, shards), "shard").groupBy("shard").applyInArrow(_answer(texts, frequent, frequent_counts, smoothing), ANSWERED)
+    answered = asked.repartition(max(width, shards), "shard").groupBy("shard").applyInArrow(_answer(frequent, frequent_counts, smoothing), ANSWERED)
     answered = answered.repartition(count, "batch")
     scored = batches.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(_score(shards, frequent, n, v, texts, smoothing), SCORED)
     return scored.withColumn("train_tokens", F.lit(n).cast("bigint"))
