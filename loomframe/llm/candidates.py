@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import components
-from loomframe.llm.words import binary_parts, shingle_sets, texts_of
+from loomframe.llm.words import binary_parts, shingle_sets, sliced, texts_of
 from loomframe.session import materialise
 
 #: Bits of a filter of ids or keys: 1,024 rows of 4 KB at most, whatever the table's size. A filter that is full
@@ -47,7 +47,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, deno
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [s.tobytes() for s in shingle_sets(*binary_parts(batch.column("text")), words)]
             yield pa.record_batch([batch.column("id"), pa.array(sets, pa.binary())], ["id", "items"])
 
@@ -69,7 +69,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, deno
 
 def _tiles(close: Close):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             for row in batch.to_pylist():
                 x, y = row["x"], row["y"]
                 ids = [np.array([r["id"] for r in side], np.int64) for side in (x, y)]
@@ -95,7 +95,7 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
     members = materialise(filtered(keys, "key", counts.select("key")).join(counts, "key"), "members")
 
     def quick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             good = [
                 bool(close([bytes(r["x"])], [bytes(r["y"])], np.array([r["nx"]]), np.array([r["ny"]]))[0, 0])
                 for r in batch.select(["x", "y", "nx", "ny"]).to_pylist()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from loomframe.llm.candidates import joined, verified
 from loomframe.llm.common import range_number, width
-from loomframe.llm.words import binary_parts, joined_parts, mix, shingle_hashes, texts_of, word_hashes
+from loomframe.llm.words import binary_parts, joined_parts, mix, shingle_hashes, sliced, texts_of, word_hashes
 from loomframe.session import materialise
 
 PLACES = 128
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
     """``(id, fingerprint)`` of every row. Texts without words, null ones among them, share one fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = signatures(*binary_parts(batch.column("text")), words)
             yield pa.record_batch([batch.column("id"), pa.array(_hex(found))], ["id", "fingerprint"])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.candidates import joined, verified
-from loomframe.llm.words import binary_parts, mix, shingle_sets, texts_of
+from loomframe.llm.words import binary_parts, mix, shingle_sets, sliced, texts_of
 from loomframe.session import drop_written, materialise
 
 ROWS = "id bigint, n bigint, low bigint, high bigint, part int, payload binary"
@@ -77,14 +77,14 @@ def described(docs: DataFrame, bands: Bands, words: int, id_col: str, text_col:
     """Per text its set's size, a 128-bit digest of the set and its sketches: a row for each band that it joins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out: list[tuple] = []
             for key, items in zip(batch.column("id").to_pylist(), shingle_sets(*binary_parts(batch.column("text")), words)):
                 low, high = (int(mix(items + np.uint64(s)).sum(dtype=np.uint64).astype(np.int64)) for s in (1, 2))
                 found = list(bands.sketches(items)) if len(items) else []
                 # A set that joins no band gets one row without a sketch.
                 for k, (part, sketch) in enumerate(found or [(-1, np.zeros(0, np.uint64))]):
-                    out.append((key, len(items), low, high, part if k == 0 else part, sketch.tobytes(), k))
+                    out.append((key, len(items), low, high, part, sketch.tobytes(), k))
             columns = list(zip(*out)) if out else [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "n", "low", "high", "part", "payload", "nth"])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.llm.elias_fano import Trie, dequantised
-from loomframe.llm.words import binary_parts, mix, texts_of, word_hashes
+from loomframe.llm.words import binary_parts, mix, sliced, texts_of, word_hashes
 from loomframe.session import materialise
 
 #: Pseudo-counts of the single-word probabilities in a context.
@@ -56,7 +56,7 @@ def totals(rows: DataFrame) -> tuple[int, int, int, np.ndarray, np.ndarray]:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             words, _ = _sequences(batch.column("text"))
             word, n = np.unique(words, return_counts=True)
             yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])

@@ -199,6 +199,13 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
         yield np.unique(value[a:b])
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that takes many times a batch's bytes."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(text: str | Column) -> Column:
     """A text column's UTF-8 bytes, to send to Python."""
     return (F.col(text) if isinstance(text, str) else text).cast("string").cast("binary")
