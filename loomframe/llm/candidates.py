@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import components
 from loomframe.llm.words import binary_parts, shingle_sets, sliced, texts_of
-from loomframe.session import materialise
+from loomframe.session import drop_written, materialise
 
 #: Bits of a filter of ids or keys: 1,024 rows of 4 KB at most, whatever the table's size. A filter that is full
 #: lets everything through to the join behind it.
@@ -64,7 +64,10 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, deno
 
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x")).dropDuplicates(["a"])
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y")).dropDuplicates(["b"])
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    links = materialise(both.mapInArrow(compare, "a bigint, b bigint"), "links")
+    drop_written(sets)
+    return links
 
 
 def _tiles(close: Close):
@@ -109,7 +112,7 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
     right = payloads.select("part", F.col("id").alias("b"), F.col("n").alias("ny"), F.col("payload").alias("y"))
     near = pairs.join(right, ["part", "b"]).join(left, ["part", "a"]).select("a", "b", "x", "y", "nx", "ny")
     near = materialise(near.mapInArrow(quick, "a bigint, b bigint").distinct(), "near")
-    links = materialise(verify(near), "links")
+    links = verify(near)
     labels = components(links)
 
     # The pivot has met all rows of its key; what is left are keys whose other rows are of several components.
@@ -125,5 +128,9 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
     y = chunks.select("key", F.col("chunk").alias("j"), F.col("rows").alias("y"))
     tiles = x.join(y, "key").where("i <= j").select("x", "y")
     more = tiles.mapInArrow(_tiles(close), "a bigint, b bigint").distinct().join(near, ["a", "b"], "left_anti")
-    links = links.union(materialise(verify(materialise(more, "more")), "links"))
-    return components(links)
+    more = materialise(more, "more")
+    late = verify(more)
+    out = components(links.union(late))
+    for table in (counts, members, near, links, labels, found, chunks, more, late):
+        drop_written(table)
+    return out

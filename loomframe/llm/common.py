@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomframe.session import materialise
+from loomframe.session import drop_written, materialise
 
 
 def width(df: DataFrame, least: int = 1) -> int:
@@ -42,7 +42,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         step = labels.select(F.col("a").alias("low"), F.col("label").alias("further"))
         moved = lower.join(step, "low", "left").select("a", F.col("label").alias("old"), F.least("low", "further").alias("label"))
         moved = materialise(moved, "labels")
+        drop_written(labels)
         labels = moved.select("a", "label")
         if moved.where("old <> label").isEmpty():
+            drop_written(edges)
             return labels.select(F.col("a").alias("id"), F.col("label").alias("component"))
     raise RuntimeError(f"components were not done after {rounds} rounds")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.common import components
-from loomframe.session import materialise
+from loomframe.session import drop_written, materialise
 
 BLOCK = 16
 #: Rows on a side of a tile, rows in a leaf, vectors in the sample, leaders taken from it, members that make a crowd.
@@ -248,7 +248,10 @@ def _linked(rows: DataFrame, size: int, threshold: float) -> DataFrame:
     tiles = x.join(y, ["block", "leaf"]).where((F.col("visitor") | before) & ~pure)
     same = ~F.col("visitor") & (F.col("ax") == F.col("ay")) & (F.col("px") == F.col("py"))
     found = tiles.select("block", same.alias("same"), "x", "y").mapInArrow(_meet(size, turn, threshold), "id bigint, links bigint, low bigint")
-    return own.union(materialise(found.groupBy("id", "low").agg(F.sum("links").alias("links")).select("id", "links", "low"), "found"))
+    found = materialise(found.groupBy("id", "low").agg(F.sum("links").alias("links")).select("id", "links", "low"), "found")
+    drop_written(dealt)
+    drop_written(chunks)
+    return own.union(found)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -135,6 +135,7 @@ def similar_sets(
         return verified(docs, pairs, words, numerator, denominator, id_col, text_col)
 
     linked = joined(block_keys(sketches), sketches.dropDuplicates(["id", "part"]), bands.close, verify)
+    drop_written(sketches)
     to = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     to = to.select("low", "high", "n", F.coalesce("component", "rep").alias("component"))
     out = own.join(to, ["low", "high", "n"], "left")
