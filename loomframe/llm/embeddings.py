@@ -72,25 +72,26 @@ class Leaves:
         return np.argmax(inside, axis=1), gap <= radius2
 
 
-def _units(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray | None]]:
-    """Ids and unit vectors of a batch, None for what links with nothing."""
+def _usable(batch: pa.RecordBatch) -> list[np.ndarray | None]:
+    """The vectors of a batch, None for what links with nothing. Single precision stays as it is, half the bytes of
+    double; doubles are scaled to a largest component of 1, so that squares neither overflow nor vanish."""
     out: list[np.ndarray | None] = []
     for v in batch.column("v"):
         x = None
         if v.is_valid and len(v.values) and not v.values.null_count:
-            x = v.values.to_numpy().astype(np.float64)
+            x = v.values.to_numpy()
             top = np.abs(x).max()
-            x = x / top if np.isfinite(top) and top > 0 else None
-        out.append(None if x is None or not np.isfinite(x).all() else x / np.linalg.norm(x))
-    return batch.column("id"), out
+            x = None if not np.isfinite(top) or top == 0 else x if x.dtype == np.float32 else x.astype(np.float64) / top
+        out.append(x)
+    return out
 
 
 def units(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(id, size, u)``: the unit vectors, as bytes of doubles, of the rows that can link."""
+    """``(id, size, u)``: the vectors, as bytes, of the rows that can link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found = _units(batch)
+            ids, found = batch.column("id"), _usable(batch)
             good = pa.array([u is not None for u in found])
             kept = [u for u in found if u is not None]
             yield pa.record_batch(
@@ -101,8 +102,15 @@ def units(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, size int, u binary").dropDuplicates(["id"])
 
 
+def _unit(raw: list[bytes], size: int) -> np.ndarray:
+    """Unit vectors in double precision."""
+    kinds = {4 * size: np.float32, 8 * size: np.float64}
+    x = np.array([np.frombuffer(r, kinds[len(r)]) for r in raw], np.float64).reshape(-1, size)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in column), np.float64).reshape(-1, size)
+    return _unit([x.as_buffer() for x in column], size)
 
 
 def _leaders(sample: np.ndarray, half: float) -> np.ndarray:
@@ -190,7 +198,7 @@ def _linked(rows: DataFrame, size: int, threshold: float) -> DataFrame:
     """``(id, links, low)`` of the vectors of one length; several rows per id."""
     total = rows.count()
     taken = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()  # a bounded sample: it sets cuts, not results
-    sample = np.array([np.frombuffer(bytes(r["u"]), np.float64) for r in taken]).reshape(-1, size)
+    sample = _unit([bytes(r["u"]) for r in taken], size)
     turn = rotation(size)
     half = math.cos(math.acos(threshold) / 2) + 1e-7
     leaders = _leaders(sample[:1024], half)
