@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from loomframe.llm.candidates import joined, verified
 from loomframe.llm.common import range_number, width
-from loomframe.llm.words import binary_parts, joined_parts, mix, shingle_hashes, sliced, texts_of, word_hashes
+from loomframe.llm.words import binary_parts, joined_parts, shingle_hashes, shingle_sets, sliced, texts_of, word_hashes
 from loomframe.session import materialise
 
 PLACES = 128
@@ -134,12 +134,20 @@ def near_duplicates(
 ) -> DataFrame:
     """``(id, component)`` of every row: the smallest id it reaches by pairs that share a band and are similar enough.
 
-    Texts of equal fingerprints are one class, and only its first is compared. Texts without words link with nothing,
+    Texts of equal shingle sets are one class, and only its first is compared. Texts without words link with nothing,
     nor do rows whose id is null.
     """
-    prints = materialise(fingerprints(docs, words, id_col, text_col), "prints")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            data, offsets = binary_parts(batch.column("text"))
+            digests = [hashlib.sha256(s.tobytes()).digest()[:16] for s in shingle_sets(data, offsets, words)]
+            yield pa.record_batch([batch.column("id"), pa.array(_hex(signatures(data, offsets, words))), pa.array(digests, pa.binary())], ["id", "fingerprint", "digest"])
+
+    rows = texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
+    prints = materialise(rows.mapInArrow(run, "id bigint, fingerprint string, digest binary"), "prints")
     some = prints.where((F.col("fingerprint") != "f" * (8 * PLACES)) & F.col("id").isNotNull())
-    classes = materialise(some.groupBy("fingerprint").agg(F.min("id").alias("rep")), "classes")
+    classes = materialise(some.groupBy("fingerprint", "digest").agg(F.min("id").alias("rep")), "classes")
     size = 8 * PLACES // BANDS
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fingerprint"), i * size + 1, F.lit(size))))
     keys = classes.select(F.explode(band).alias("key"), F.lit(0).alias("part"), F.col("rep").alias("id"))
@@ -150,6 +158,6 @@ def near_duplicates(
 
     linked = joined(keys, payloads, all_close, lambda pairs: verified(docs, pairs, words, numerator, denominator, id_col, text_col))
     to = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
-    to = to.select("fingerprint", F.coalesce("component", "rep").alias("component"))
-    out = prints.join(to, "fingerprint", "left")
+    to = to.select("fingerprint", "digest", F.coalesce("component", "rep").alias("component"))
+    out = prints.join(to, ["fingerprint", "digest"], "left")
     return out.select("id", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
