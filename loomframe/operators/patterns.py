@@ -51,6 +51,23 @@ def rule_rows(model: FPGrowthModel) -> DataFrame:
     )
 
 
+def implied_items(df: DataFrame, model: FPGrowthModel, key: str) -> DataFrame:
+    """``df (key, items)`` with ``prediction``: consequents of all rules whose antecedent a basket holds, but for its own items.
+
+    Baskets meet the rules on the antecedents' items, and a rule fires where as many of them met as it has; the rules
+    stay a table, and no basket is tested against a rule that it shares nothing with.
+    """
+    rules = model.associationRules.select("antecedent", F.get("consequent", F.lit(0)).alias("_then"))
+    rules = rules.withColumn("_rule", item_key("antecedent"))
+    parts = rules.select("_rule", F.size("antecedent").alias("_need"), "_then", F.explode("antecedent").alias("_item"))
+    held = df.select(key, F.explode("items").alias("_item")).distinct()
+    met = held.join(parts, "_item").groupBy(key, "_rule", "_then", "_need").agg(F.count(F.lit(1)).alias("_met"))
+    implied = met.where(F.col("_met") == F.col("_need")).select(key, F.col("_then").alias("_item")).distinct()
+    new = implied.join(held, [key, "_item"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias("prediction"))
+    joined = df.join(new, key, "left")
+    return joined.withColumn("prediction", F.coalesce("prediction", F.slice("items", 1, 0)))
+
+
 def also_viewed(model: FPGrowthModel, k: int = 5, ascending: bool = False) -> DataFrame:
     """``(item, rank, other, confidence)``: up to k consequents of every one-item antecedent, best first."""
     single = rule_rows(model).filter(F.col("size") == 1)
@@ -71,18 +88,22 @@ def frequent_sequences(df: DataFrame, min_support: float, max_length: int = 5, c
 
 
 def frequent_event_sequences(
-    events: DataFrame, key: list[str], order: list[str], item: str, min_support: float, max_length: int = 5, shards: int = 16
+    events: DataFrame, key: list[str], order: list[str], item: str, min_support: float, max_length: int = 5, per_shard: int = 100_000
 ) -> DataFrame:
     """``(pattern, freq)`` of single-item steps, straight from an event table.
 
     No sequence is ever collected. A pattern is kept per sequence as the earliest place it can end; one step
-    longer is the earliest later event of each item. Events of one sequence are spread over ``shards`` join
-    keys, and minima are taken before the shuffle, so a sequence with a third of all events is no bottleneck.
+    longer is the earliest later event of each item. Only sequences of more than ``per_shard`` events are spread, over a
+    join key for each so many of them, and minima are taken before the shuffle, so a sequence with a third of all
+    events is no bottleneck and short ones carry one copy of their state.
     The per-sequence state is one row with at most as many ends as there are frequent patterns.
     """
     rows = events.select(*key, F.struct(*order).alias("_at"), F.col(item).alias("_item"))
-    rows = rows.withColumn("_shard", F.pmod(F.xxhash64("_at"), F.lit(shards)).cast("int"))
     rows = materialise(rows, "events")
+    sizes = rows.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / per_shard).cast("int").alias("_shards")).where("_shards > 1")
+    sizes = materialise(sizes, "sizes")
+    shards = F.coalesce("_shards", F.lit(1))
+    rows = lookup(rows, sizes, key).withColumn("_shard", F.pmod(F.xxhash64("_at"), shards).cast("int")).drop("_shards")
     needed = F.ceil(F.lit(min_support) * F.lit(rows.select(*key).distinct().count()))
     ends = rows.groupBy(*key, F.array("_item").alias("pattern")).agg(F.min("_at").alias("_end"))
     levels = []
@@ -95,7 +116,7 @@ def frequent_event_sequences(
             break
         alive = ends.join(counted.select("pattern"), "pattern", "left_semi")
         state = alive.groupBy(*key).agg(F.collect_list(F.struct("pattern", "_end")).alias("_state"))
-        spread = state.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        spread = lookup(state, sizes, key).withColumn("_shard", F.explode(F.sequence(F.lit(0), shards - 1))).drop("_shards")
         if length == 1:
             frequent_items = counted.select(F.col("pattern")[0].alias("_item"))
             rows = rows.join(frequent_items, "_item", "left_semi")

@@ -244,7 +244,8 @@ def rules(spark, sf):
 )
 def basket_prediction(spark, sf):
     rows, model = _mined(spark, sf)
-    return model.transform(rows).select("l_orderkey", F.concat_ws("_", F.array_sort("prediction")).alias("implied"))
+    found = pat.implied_items(rows, model, "l_orderkey")
+    return found.select("l_orderkey", F.concat_ws("_", F.array_sort("prediction")).alias("implied"))
 
 
 @query(

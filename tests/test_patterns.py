@@ -46,14 +46,14 @@ def _contains(sequence, pattern):
     return all(any(x == y for y in at) for x in pattern)
 
 
-@pytest.mark.parametrize("shards", [1, 16])
-def test_event_sequences_match_brute_force_and_prefix_span(spark, shards):
+@pytest.mark.parametrize("per_shard", [3, 1000])
+def test_event_sequences_match_brute_force_and_prefix_span(spark, per_shard):
     rng = random.Random(8)
     sequences = {u: [rng.choice("abcd") for _ in range(rng.randrange(1, 7))] for u in range(40)}
     sequences[0] = [rng.choice("abcd") for _ in range(400)]
     events = [(u, t, item) for u, seq in sequences.items() for t, item in enumerate(seq)]
     df = spark.createDataFrame(events, "u int, t int, item string")
-    got = pat.frequent_event_sequences(df, ["u"], ["t"], "item", 0.3, 3, shards)
+    got = pat.frequent_event_sequences(df, ["u"], ["t"], "item", 0.3, 3, per_shard)
     rows = {tuple(r["pattern"]): r["freq"] for r in got.collect()}
     expected = {}
     for n in (1, 2, 3):
