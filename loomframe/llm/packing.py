@@ -105,8 +105,8 @@ def word_memory(path: str) -> tuple:
     return _MEMORY[path]
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids)``: the ids of every whole text and ``end_id`` behind them, as little-endian 32-bit integers.
+def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", kind: str = "<u4") -> DataFrame:
+    """``(id, ids)``: the ids of every whole text and ``end_id`` behind them, as integers of that kind.
 
     A null text is encoded like an empty one. A worker encodes each word that it has not met before.
     """
@@ -123,7 +123,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
                 begin, sizes = memory.look_up(hashes, compute)
                 all_ids, ends = gathered(memory.flat, begin[number], sizes[number])
                 edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-                end = np.uint32(end_id).tobytes()
+                all_ids, end = all_ids.astype(kind), np.array([end_id], kind).tobytes()
                 out = [all_ids[a:b].tobytes() + end for a, b in zip(edges[:-1], edges[1:])]
                 yield pa.record_batch([batch.column("id").cast(pa.int64()), pa.array(out, pa.binary())], ["id", "ids"])
 
@@ -131,7 +131,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     return rows.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id bigint, ids binary")
 
 
-def write_blocks(tokens: DataFrame, path: str, bits: int, block_ids: int = BLOCK_IDS) -> None:
+def write_blocks(tokens: DataFrame, path: str, bits: int, block_ids: int = BLOCK_IDS, kind: str = "<u4") -> None:
     """Write ``(id, ids)`` as blocks in ascending order of id (null first, equal ids by content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def write_blocks(tokens: DataFrame, path: str, bits: int, block_ids: int = BLOCK
                 elif number != now:
                     first = block = 0
                 now = number
-                values = np.frombuffer(ids.as_buffer(), "<u4")
+                values = np.frombuffer(ids.as_buffer(), kind)
                 keys.append(key or 0)
                 nulls.append(key is None)
                 sizes.append(len(values))
@@ -223,6 +223,8 @@ def token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
     # The ranges come from the keys alone, so that the texts are encoded once.
     parts = width(docs)
     cut = range_number(docs.select(F.col(id_col).cast("long").alias("id")), "id", parts)
-    tokens = encoded(docs, tokenizer, end_id, id_col, text_col).withColumn("range", cut)
-    write_blocks(tokens, path, bits_for(max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)))
+    bits = bits_for(max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1))
+    kind = "<u2" if bits <= 16 else "<u4"  # as few bytes as can be sorted into ranges
+    tokens = encoded(docs, tokenizer, end_id, id_col, text_col, kind).withColumn("range", cut)
+    write_blocks(tokens, path, bits, kind=kind)
     return path
