@@ -3,7 +3,8 @@
 Every shingle of a set flips one bit of a sketch, so the bits in which two sketches differ are at most the shingles
 that only one of the sets has. Sizes fall into bands; for the largest sizes of a band the similarity allows some
 number d of such shingles, and the band's sketches are cut into d + 1 blocks of 64 bits: linked sets agree on a block
-(the pigeonhole), and on all bits but d (the test of a pair before its sets are compared). A set joins the
+(the pigeonhole), and on all bits but d; a short fold of the sketches shows most pairs that are not links before their
+sets are compared. A set joins the
 band above its own as well if a set there can be similar enough. Nothing is lost: each step only skips pairs that
 cannot be links.
 
@@ -22,7 +23,7 @@ from loomframe.llm.candidates import joined, verified
 from loomframe.llm.words import binary_parts, mix, shingle_sets, sliced, texts_of
 from loomframe.session import drop_written, materialise
 
-ROWS = "id bigint, n bigint, low bigint, high bigint, part int, payload binary"
+ROWS = "id bigint, n bigint, low bigint, high bigint, part int, payload binary, fold binary"
 
 
 class Bands:
@@ -52,6 +53,18 @@ class Bands:
         odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
         return np.packbits(odd).view(np.uint64)
 
+    @staticmethod
+    def fold(sketch: np.ndarray) -> np.ndarray:
+        """A sixteenth of a sketch: every so many blocks are laid over each other by exclusive or.
+
+        Two folds differ in no more bits than the sketches do, and still in about twice as many as linked sets may,
+        if the sets are unlike.
+        """
+        words = -(-len(sketch) // 16)
+        padded = np.zeros(-(-len(sketch) // words) * words, np.uint64)
+        padded[: len(sketch)] = sketch
+        return np.bitwise_xor.reduce(padded.reshape(-1, words), axis=0)
+
     def sketches(self, items: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """The band of a set and the next, if sets of other contents can be similar enough there."""
         band = self.of(len(items))
@@ -62,7 +75,7 @@ class Bands:
             yield above[0], self.sketch(items, above)
 
     def close(self, x: list[bytes], y: list[bytes], nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-        """Which pairs of sketches of one band differ in no more bits than linked sets may have."""
+        """Which pairs of folds of one band's sketches differ in no more bits than linked sets may."""
         left = np.array([np.frombuffer(s, np.uint64) for s in x])
         right = np.array([np.frombuffer(s, np.uint64) for s in y])
         most = self.allowed(nx[:, None] + ny[None, :])
@@ -84,10 +97,12 @@ def described(docs: DataFrame, bands: Bands, words: int, id_col: str, text_col:
                 found = list(bands.sketches(items)) if len(items) else []
                 # A set that joins no band gets one row without a sketch.
                 for k, (part, sketch) in enumerate(found or [(-1, np.zeros(0, np.uint64))]):
-                    out.append((key, len(items), low, high, part, sketch.tobytes(), k))
-            columns = list(zip(*out)) if out else [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "n", "low", "high", "part", "payload", "nth"])
+                    fold = bands.fold(sketch) if len(sketch) else sketch
+                    out.append((key, len(items), low, high, part, sketch.tobytes(), fold.tobytes(), k))
+            columns = list(zip(*out)) if out else [[]] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
+            names = ["id", "n", "low", "high", "part", "payload", "fold", "nth"]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")).mapInArrow(run, ROWS + ", nth int")
 
@@ -127,14 +142,15 @@ def similar_sets(
     classes = own.where("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
     classes = materialise(classes, "classes")
     firsts = classes.select(F.col("rep").alias("id"))
-    sketches = rows.where("part >= 0").join(firsts, "id", "left_semi").select("id", "part", "n", "payload")
+    sketches = rows.where("part >= 0").join(firsts, "id", "left_semi").select("id", "part", "n", "payload", "fold")
     sketches = materialise(sketches, "firsts")
     drop_written(rows)
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(docs, pairs, words, numerator, denominator, id_col, text_col)
 
-    linked = joined(block_keys(sketches), sketches.dropDuplicates(["id", "part"]), bands.close, verify)
+    folds = sketches.select("id", "part", "n", F.col("fold").alias("payload")).dropDuplicates(["id", "part"])
+    linked = joined(block_keys(sketches), folds, bands.close, verify)
     drop_written(sketches)
     to = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     to = to.select("low", "high", "n", F.coalesce("component", "rep").alias("component"))
