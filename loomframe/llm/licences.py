@@ -1,8 +1,9 @@
 """Recognising licences by their sentences, with DataFrame functions only.
 
-A text is cut into sentences, each is normalised and looked up among the known licence sentences; what is left of a
-text is a sequence of sentence identifiers. A licence is recognised where the identifiers of one of its rules follow
-each other in the rule's order, with at most the rule's number of other sentences between two of them. Of rules that
+A text is cut at line breaks and stops, and each piece is normalised. A known licence sentence is there where pieces
+that follow each other, joined, are its words: wrapped lines, blank lines and stops inside a sentence ("v. 2.0",
+"WARRANTY; without") do not hide it. What is left of a text is a sequence of sentence identifiers with their pieces. A licence is recognised where the identifiers of one of its rules follow
+each other in the rule's order, with at most the rule's number of other pieces between two of them. Of rules that
 match, the one with the most sentences names the licence; a licence none of whose rules matches, although some of its
 sentences are there, is reported as not complete.
 """
@@ -43,12 +44,17 @@ SENTENCES = {
     "mpl2-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
 
+# Other wordings of the sentences above in the licences' official texts, normalised likewise.
+WORDINGS = {
+    "licensed under the apache license version 2 0 the license": "apache2-notice",
+}
+
 
 @dataclass(frozen=True)
 class Rule:
     licence: str
     sentences: tuple[str, ...]
-    #: Other sentences that may stand between two of the rule's.
+    #: Other pieces of text that may stand between two of the rule's.
     gap: int = 3
 
 
@@ -74,9 +80,9 @@ RULES = (
     Rule("MIT", ("mit-notice-2",)),
     Rule("MPL-2.0", ("mpl2-notice",)),
 )
-#: Ends of sentences: line breaks, and stops before white space.
+#: Where texts are cut: line breaks, and stops before white space.
 ENDS = r"[\n\r]+|[.!?;:]+[ \t\n\r\f]"
-#: A text none of whose words is among these has no known sentence.
+#: A text none of whose words is among these has none of SENTENCES.
 HINTS = r"(?i)licen[sc]e|redistribut|warrant|copyright|cc0|endorse|compliance"
 
 
@@ -86,27 +92,60 @@ def normalised(sentence: Column) -> Column:
 
 
 def sentences_of(text: Column) -> Column:
-    """The normalised sentences of a text that hold any letter or digit."""
+    """The normalised pieces of a text that hold any letter or digit."""
     return F.filter(F.transform(F.split(text, ENDS), normalised), lambda s: s != "")
 
 
-def _known(spark: SparkSession, sentences: dict[str, str]) -> Column:
-    pairs = [x for i, s in sorted(sentences.items()) for x in (F.lit(s), F.lit(i))]
+def _known(wordings: dict[str, str]) -> Column:
+    pairs = [x for s, i in sorted(wordings.items()) for x in (F.lit(s), F.lit(i))]
     return F.create_map(*pairs)
 
 
+def _spans(said: Column, wordings: dict[str, str]) -> Column:
+    """``(at, to, sentence)`` of every run of pieces that is a known sentence: its first and last piece, in order.
+
+    Runs grow from pieces that a known sentence begins with, as long as it goes on with their words. A piece holds a
+    word at least, so no run has more pieces than the longest sentence has words.
+    """
+    table = _known(wordings)
+    every = F.array(*[F.lit(s + " ") for s in sorted(wordings)])
+    firsts = sorted({s.split()[0] for s in wordings})
+    longest = max(len(s.split()) for s in wordings)
+    begins = lambda run: F.exists(every, lambda s: F.startswith(s, F.concat(run, F.lit(" "))))
+    starts = F.filter(
+        F.transform(said, lambda s, i: F.struct(i.alias("at"), s.alias("s"))),
+        lambda x: F.substring_index(x["s"], " ", 1).isin(firsts) & begins(x["s"]),
+    )
+    none = F.array().cast("array<struct<at:int,to:int,sentence:string>>")
+
+    def grown(x: Column) -> Column:
+        state = F.struct(F.lit("").alias("run"), x["at"].alias("to"), none.alias("spans"))
+
+        def move(s: Column, piece: Column) -> Column:
+            run = F.when(s["run"] == "", piece).otherwise(F.concat_ws(" ", s["run"], piece))
+            run = F.when(s["run"].isNotNull() & begins(run), run)
+            here = F.struct(x["at"].alias("at"), s["to"].alias("to"), F.element_at(table, run).alias("sentence"))
+            found = F.when(here["sentence"].isNotNull(), F.concat(s["spans"], F.array(here))).otherwise(s["spans"])
+            return F.struct(run.alias("run"), (s["to"] + 1).alias("to"), found.alias("spans"))
+
+        return F.aggregate(F.slice(said, x["at"] + 1, longest), state, move, lambda s: s["spans"])
+
+    return F.flatten(F.transform(starts, grown))
+
+
 def identified(docs: DataFrame, sentences: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, known)`` of the texts with known sentences: their places and identifiers, in order.
+    """``(id, known)`` of the texts with known sentences: their first and last pieces and identifiers, in order.
 
-    The table of known sentences is a constant of the query. Texts without a hint are dropped before they are cut:
-    every known sentence has a hint in it. Null and empty texts have no sentences.
+    The table of known sentences is a constant of the query. Where it is :data:`SENTENCES`, each of which has a hint in
+    it, texts without a hint are dropped before they are cut. Null and empty texts have no sentences.
     """
-    sentences = sentences or SENTENCES
-    table = _known(docs.sparkSession, sentences)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(HINTS))
-    cut = rows.select("id", sentences_of(F.col("text")).alias("said"))
-    marked = F.transform(F.col("said"), lambda s, i: F.struct(i.alias("at"), F.element_at(table, s).alias("sentence")))
-    return cut.select("id", F.filter(marked, lambda x: x["sentence"].isNotNull()).alias("known")).where(F.size("known") > 0)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if sentences is None:
+        rows = rows.where(F.col("text").rlike(HINTS))
+    wordings = {s: i for i, s in (sentences or SENTENCES).items()} | (WORDINGS if sentences is None else {})
+    # The pieces are bound as the element of an array, so they are cut once and not for every start.
+    spans = F.element_at(F.transform(F.array(sentences_of(F.col("text"))), lambda said: _spans(said, wordings)), 1)
+    return rows.select("id", spans.alias("known")).where(F.size("known") > 0)
 
 
 def _match(known: Column, rule: Rule) -> Column:
@@ -122,10 +161,10 @@ def _match(known: Column, rule: Rule) -> Column:
         new = {}
         for k, name in enumerate(rule.sentences):
             if k == 0:
-                to = F.struct(x["at"].alias("begin"), x["at"].alias("end"))
+                to = F.struct(x["at"].alias("begin"), x["to"].alias("end"))
             else:
                 ready = s[f"s{k - 1}"]
-                to = F.when(x["at"] - ready["end"] <= rule.gap + 1, F.struct(ready["begin"].alias("begin"), x["at"].alias("end")))
+                to = F.when((x["at"] - ready["end"]).between(1, rule.gap + 1), F.struct(ready["begin"].alias("begin"), x["to"].alias("end")))
             new[k] = F.when(x["sentence"] == name, F.coalesce(to, s[f"s{k}"])).otherwise(s[f"s{k}"])
         done = F.coalesce(s["found"], new[len(rule.sentences) - 1])
         return F.struct(*[new[k].alias(f"s{k}") for k in steps], done.alias("found"))
@@ -141,7 +180,7 @@ def recognised(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sentences: dict
     """``(id, licence, complete, n_sentences, first_sentence, last_sentence)``: a row for each licence seen in a text.
 
     ``n_sentences`` is the number of sentences of the longest rule that matches, or, where none does, of different
-    sentences of the licence's rules that are there; the places count the text's sentences from 0. Repeated rows
+    sentences of the licence's rules that are there; the places count the text's pieces from 0. Repeated rows
     give repeated results, texts without known sentences none.
     """
     found = identified(docs, sentences, id_col, text_col)
@@ -160,7 +199,7 @@ def recognised(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sentences: dict
                 F.lit(False).alias("complete"),
                 F.size(F.array_distinct(F.transform(seen, lambda x: x["sentence"]))).alias("n"),
                 F.element_at(seen, 1)["at"].alias("begin"),
-                F.element_at(seen, -1)["at"].alias("end"),
+                F.element_at(seen, -1)["to"].alias("end"),
             ),
         )
         full = F.when(whole.isNotNull(), F.struct(F.lit(name).alias("licence"), F.lit(True).alias("complete"), whole["n"].alias("n"), whole["begin"].alias("begin"), whole["end"].alias("end")))

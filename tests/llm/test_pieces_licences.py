@@ -98,3 +98,78 @@ def test_every_sentence_has_a_hint_and_is_normal():
     for s in licences.SENTENCES.values():
         assert re.search(licences.HINTS, s) and " ".join(re.findall("[a-z0-9]+", s)) == s
     assert {s for r in licences.RULES for s in r.sentences} == set(licences.SENTENCES)
+
+
+APACHE = """Copyright 2020 A B
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+     http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_official_texts_are_found_however_they_are_wrapped(spark, docs):
+    official = [("Apache-2.0", APACHE, 4), ("GPL-3.0", GPL, 3), ("MPL-2.0", MPL, 1), ("MIT", MIT, 2), ("BSD-3-Clause", BSD, 4)]
+    texts = [t for _, t, _ in official]
+    texts += [re.sub("^", "# ", t, flags=re.M) for t in texts] + ["\r\n".join(t.split()) for t in texts[:3]] + [GPL.replace("software:", "software;")]
+    found = {(r["id"], r["licence"]): r for r in licences.recognised(docs(list(enumerate(texts)))).collect()}
+    for k in range(len(texts)):
+        name, _, n = official[k % 5 if k < 13 else 1]
+        assert found[k, name]["complete"] and found[k, name]["n_sentences"] == n, (k, name)
+    assert found[1, "GPL-3.0"]["first_sentence"] == 0 and found[1, "GPL-3.0"]["last_sentence"] == 10
+    # Parts of a sentence, or words between its lines, are no sentence.
+    broken = [MPL.replace("Public\n", "Public\nor\n"), "Released under\nthe MIT", "under\nthe MIT License"]
+    assert licences.recognised(docs(list(enumerate(broken)))).count() == 0
+
+
+def test_sentences_of_ones_own_need_no_hint(spark, docs):
+    rules = (licences.Rule("own", ("a", "b")),)
+    frame = docs([(1, "Do as\nyou like. Tell nobody"), (2, "Do as you. Tell nobody")])
+    found = licences.recognised(frame, rules, {"a": "do as you like", "b": "tell nobody"}).collect()
+    assert {(r["id"], r["complete"], r["first_sentence"], r["last_sentence"]) for r in found} == {(1, True, 0, 2), (2, False, 1, 1)}
