@@ -169,5 +169,5 @@ def op9_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's perplexity, its language's limit and whether it is kept."""
     docs = table(spark, sf, "documents")
-    found = quality.judged(docs, table(spark, sf, "labels"))
+    found = quality.by_row(docs, quality.judged(docs, table(spark, sf, "labels")))
     return found.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "log10_ppl", F.col("limit").alias("lang_limit"), "kept")
