@@ -23,8 +23,7 @@ def words_in(text: str | Column) -> Column:
 
 
 def _area(knots: Sequence[float]) -> float:
-    steps = max(1, len(knots) - 1)
-    return sum((a + b) / 2 for a, b in zip(knots, [*knots[1:], knots[-1]])) / steps if len(knots) > 1 else knots[0]
+    return sum((a + b) / 2 for a, b in zip(knots, knots[1:])) / (len(knots) - 1) if len(knots) > 1 else knots[0]
 
 
 def targets(sizes: DataFrame, share: float, cap: float) -> DataFrame:
@@ -121,6 +120,22 @@ def plan(sized: DataFrame, schedules: Sequence[Sequence[float]], share: float, c
     return out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop("_stretch", "_offset")
 
 
+def _times() -> Column:
+    """``(position, copy)`` of each copy that a row of :func:`plan` is taken as; none for rows not taken."""
+    passed = lambda copy: copy * F.col("source_size") + F.col("done") + F.col("size") / 2
+    time = lambda copy: position(F.col("knots"), F.least(passed(copy) / F.col("target"), F.lit(1.0)))
+    copies = F.filter(F.sequence(F.lit(0), F.col("copies")), lambda c: c < F.col("copies"))
+    return F.transform(copies, lambda c: F.struct(time(c).alias("position"), c.alias("copy")))
+
+
+def in_order(planned: DataFrame) -> DataFrame:
+    """All rows of :func:`plan` with ``position``, that of their first copy, range-sorted by it, those not taken last."""
+    planned = materialise(planned.withColumn("position", F.get(_times(), 0)["position"]), "planned")
+    parts = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("position").asc_nulls_last(), F.col("key").asc(), F.col("rank").asc()]
+    return planned.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+
 def mixed(
     docs: DataFrame, schedules: Sequence[Sequence[float]], share: float, cap: int = 2,
     key: str = "doc_id", source: str = "source", text: str = "text",
@@ -132,12 +147,10 @@ def mixed(
     """
     planned = materialise(plan(measured(docs, key, source, text), schedules, share, cap).where("copies > 0"), "mix")
     # Repeated rows share their hash; they are numbered on both sides, so each takes its own place.
-    passed = lambda copy: copy * F.col("source_size") + F.col("done") + F.col("size") / 2
-    time = lambda copy: position(F.col("knots"), F.least(passed(copy) / F.col("target"), F.lit(1.0)))
     times = planned.select(
         F.col("rank").alias("_rank"),
         F.row_number().over(Window.partitionBy("rank").orderBy("done")).alias("_nth"),
-        F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda c: F.struct(time(c).alias("position"), c.alias("copy"))).alias("_times"),
+        _times().alias("_times"),
     )
     columns = [f"`{c}`" for c in docs.drop("position", "copy").columns]
     rows = docs.select(*columns, rank_of(key, text).alias("_rank"))

@@ -154,9 +154,13 @@ def op7_token_packing(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    """How many words of each document a mix of all sources takes, at weights 3, 1, 2 in turn."""
-    planned = mixing.plan(mixing.measured(table(spark, sf, "documents")), [[3], [1], [2]], 1.5, 2)
-    return planned.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+    """How many words of each document a mix of all sources takes, in the order of its curriculum.
+
+    The schedules' integrals are 3, 1, 2 in turn. Rows are range-sorted by the position of their first copy, those that
+    are not taken come last.
+    """
+    planned = mixing.plan(mixing.measured(table(spark, sf, "documents")), [[4, 2], [0.5, 1.5], [1, 3]], 1.5, 2)
+    return mixing.in_order(planned).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @query("op9_lm_scores")

@@ -109,3 +109,22 @@ def test_position_inverts_the_schedule(spark):
     frame = spark.createDataFrame([(float(x),) for x in (0.0, 0.1, 0.5, 0.7, 0.9, 1.0)], "done double")
     for r in frame.withColumn("p", mixing.position(F.array(*[F.lit(k) for k in knots]), F.col("done"))).collect():
         assert np.interp(r["p"], times, area) == pytest.approx(r["done"], abs=1e-3)
+
+
+def test_targets_follow_the_integrals_of_the_schedules(spark, docs):
+    frame = docs([(k, "w " * 10, "en", "ab"[k % 2]) for k in range(400)])
+    planned = mixing.plan(mixing.measured(frame), [[3, 1], [0, 2, 6, 2]], 0.5, 2).collect()
+    target = {r["source"]: r["target"] for r in planned}
+    assert target["a"] == pytest.approx(2000 * 2 / (2 + 3)) and target["b"] == pytest.approx(2000 * 3 / (2 + 3))
+
+
+def test_rows_in_the_order_of_the_curriculum(spark, docs):
+    frame = docs([(k, "w " * (k % 7), "en", "abc"[k % 3]) for k in range(600)])
+    schedules = [[3, 1], [0, 2], [1]]
+    planned = mixing.in_order(mixing.plan(mixing.measured(frame), schedules, 0.7, 2)).collect()
+    sequence = mixing.mixed(frame, schedules, 0.7).where("copy = 0").collect()
+    assert [(r["position"], r["key"]) for r in planned if r["taken"]] == [(r["position"], r["doc_id"]) for r in sequence]
+    first = [r["taken"] > 0 for r in planned]
+    assert len(planned) == 600 and 0 < sum(first) < 600 and all(first[: sum(first)])
+    early = lambda s: np.mean([r["position"] < 0.5 for r in sequence if r["source"] == s])
+    assert early("a") == pytest.approx(5 / 8, abs=0.06) and early("b") == pytest.approx(1 / 4, abs=0.06)

@@ -58,6 +58,21 @@ def test_stages_take_odd_tables(spark, docs):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() == frame.count()
 
 
+def test_run_keeps_the_order_of_the_curriculum(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert [r["position"] for r in rows] == sorted(r["position"] for r in rows)
+    assert len({(r["doc_id"], r["copy"]) for r in rows}) == len(rows) and {r["copy"] for r in rows} <= {0, 1}
+    first = sorted({r["source"] for r in rows})[0]
+    mine = [r["n_tokens"] * (r["position"] < 0.5) for r in rows if r["source"] == first]
+    # The first source's weight falls from 3 to 1: five eighths of it come in the first half.
+    assert sum(mine) / sum(r["n_tokens"] for r in rows if r["source"] == first) == pytest.approx(5 / 8, abs=0.1)
+
+
+def test_mixing_query_is_in_order(spark):
+    taken = [r["taken"] > 0 for r in queries.QUERIES["op8_source_mixing"](spark, SF).collect()]
+    assert 0 < sum(taken) and all(taken[: sum(taken)])
+
+
 def test_every_operator_has_a_query():
     contract = importlib.import_module("__spark_entry__")
     names = contract.queries()
