@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import embeddings, fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
+from loomframe.llm import bpe, embeddings, fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +175,19 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = quality.by_row(docs, quality.judged(docs, table(spark, sf, "labels")))
     return found.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "log10_ppl", F.col("limit").alias("lang_limit"), "kept")
+
+
+@query("op11_bpe")
+def op11_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document encoded and decoded with a byte-level BPE file."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    back = bpe.decoded(bpe.encoded(table(spark, sf, "documents"), path), path)
+    ids = F.col("ids").cast("array<string>")
+    return back.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", ids), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
