@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomframe.llm import bpe, embeddings, fingerprints, jaccard, licences, mixing, ngrams, packing, pieces, quality, sharding
+from loomframe.llm import bpe, embeddings, fingerprints, jaccard, licences, merkle, mixing, ngrams, packing, pieces, quality, sharding, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,3 +191,103 @@ def op11_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.concat_ws(",", ids), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes: per byte one exclusive or and eight steps (-1) of the polynomial."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT"
+    steps = f"flatten(list_transform(range(octet_length(encode({text}))), lambda i: [{byte}, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(c, b) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce({steps}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+def _merkle_sql() -> str:
+    """Levels by a recursive query over whole levels; proofs by a second one that looks siblings up."""
+    field = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda n: f"sha256({' || '.join(field(n if c == 'n_chars' else c) for c in merkle.FIELDS)})"
+    level = (
+        "SELECT {tree}, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 "
+        "FROM {source} WHERE n > 1 GROUP BY {tree}, level, idx // 2, n"
+    )
+    return f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, lang, {leaf('n_chars')} AS leaf,
+               CASE WHEN n_chars IS NOT NULL AND {_crc32_sql('doc_id::VARCHAR')} % 7 = 0 THEN {leaf('(n_chars + 1)')} END AS wrong
+        FROM documents),
+    g AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM d)),
+    l AS (
+        SELECT d.*, g.tree, row_number() OVER (PARTITION BY g.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g.tree) AS n
+        FROM d JOIN g ON d.lang IS NOT DISTINCT FROM g.lang),
+    nodes(tree, level, idx, h, n) AS (
+        SELECT tree, 0, idx, leaf, n FROM l UNION ALL {level.format(tree="tree", source="nodes")}),
+    sub AS (SELECT tree, h AS subroot, level AS depth FROM nodes WHERE n = 1),
+    top(level, idx, h, n) AS (
+        SELECT 0, tree, subroot, (SELECT count(*) FROM sub) FROM sub
+        UNION ALL {level.format(tree="0", source="top").replace("SELECT 0, ", "SELECT ").replace("GROUP BY 0, ", "GROUP BY ")}),
+    every AS (
+        SELECT tree, level, idx, h FROM nodes WHERE n > 1
+        UNION ALL SELECT -1, level, idx, h FROM top),
+    climb(tree, idx, at, level, place, h, proof, left_levels) AS (
+        SELECT l.tree, l.idx, l.tree, 0, l.idx, coalesce(wrong, leaf), '', depth FROM l JOIN sub USING (tree)
+        UNION ALL
+        SELECT c.tree, c.idx, CASE WHEN left_levels = 0 THEN -1 ELSE c.at END, CASE WHEN left_levels = 0 THEN 0 ELSE c.level + 1 END,
+               CASE WHEN left_levels = 0 THEN c.tree ELSE c.place // 2 END,
+               CASE WHEN left_levels = 0 THEN c.h WHEN c.place % 2 = 1 THEN sha256(e.h || c.h) ELSE sha256(c.h || coalesce(e.h, '')) END,
+               CASE WHEN left_levels = 0 THEN c.proof ELSE c.proof || coalesce(e.h, '') END,
+               CASE WHEN left_levels = 0 THEN (SELECT max(level) FROM top) ELSE left_levels - 1 END
+        FROM climb c LEFT JOIN every e ON e.tree = c.at AND e.level = c.level AND e.idx = c.place + 1 - 2 * (c.place % 2)
+        WHERE left_levels > 0 OR c.at >= 0),
+    ends AS (SELECT * FROM climb WHERE at = -1 AND left_levels = 0)
+    SELECT l.doc_id, l.leaf, sub.subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(ends.proof) AS proof_sha256,
+           ends.h AS folded_root, ends.h = (SELECT h FROM top WHERE n = 1) AS verified
+    FROM l JOIN sub USING (tree) JOIN ends ON ends.tree = l.tree AND ends.idx = l.idx
+    """
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and whether its climb, tampered or not, reaches the root."""
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.when(chosen & F.col("n_chars").isNotNull(), merkle.leaf_digest(n_chars=more))
+    found = merkle.proofs(table(spark, sf, "documents"), tampered)
+    digests = {c: merkle.hex_text(F.col(c)) for c in ("leaf", "subroot", "root", "folded_root")}
+    found = found.withColumns({**digests, "proof_sha256": F.sha2(merkle.hex_text(F.col("proof")), 256)})
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query(
+    "op13_spelling_variants",
+    f"""
+    WITH RECURSIVE r AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS key, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]{{7,}}')),
+                   '{spelling.UPPER}', '{spelling.LOWER}') AS run
+        FROM documents),
+    h AS (
+        SELECT *, {_crc32_sql("(key || ':' || run)")} AS h FROM (SELECT key, run, count(*) AS n FROM r GROUP BY ALL)),
+    m AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+        FROM h),
+    w AS (SELECT word, sum(n)::BIGINT AS n FROM m WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    c AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+    near AS (
+        SELECT DISTINCT * FROM (
+            SELECT a.word, b.word AS other, b.n FROM c a JOIN c b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+            UNION ALL SELECT c.word, w.word, w.n FROM c JOIN w ON c.cut = w.word
+            UNION ALL SELECT w.word, c.word, c.n FROM c JOIN w ON c.cut = w.word)),
+    best AS (
+        SELECT word, count(*) AS n_near, max(n) AS form_n, arg_min(other, (-n, encode(other))) AS form FROM near GROUP BY word),
+    f AS (
+        SELECT w.word, CASE WHEN form_n >= {spelling.RATIO} * w.n THEN form END AS form, w.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN form_n >= {spelling.RATIO} * w.n THEN form_n END AS form_n
+        FROM w LEFT JOIN best USING (word)),
+    follow(word, root, next) AS (
+        SELECT word, word, form FROM f
+        UNION ALL SELECT follow.word, f.word, f.form FROM follow JOIN f ON follow.next = f.word)
+    SELECT f.word, f.form, follow.root, f.n, f.n_near, f.form_n FROM f JOIN follow ON follow.word = f.word AND follow.next IS NULL
+    """,
+)
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word with its common form, the last form of its chain and how many words are near."""
+    return spelling.variants(spelling.word_counts(table(spark, sf, "documents")))
