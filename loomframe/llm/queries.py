@@ -227,17 +227,17 @@ def _merkle_sql() -> str:
     every AS (
         SELECT tree, level, idx, h FROM nodes WHERE n > 1
         UNION ALL SELECT -1, level, idx, h FROM top),
-    climb(tree, idx, at, level, place, h, proof, left_levels) AS (
+    climb(tree, idx, spot, level, place, h, proof, left_levels) AS (
         SELECT l.tree, l.idx, l.tree, 0, l.idx, coalesce(wrong, leaf), '', depth FROM l JOIN sub USING (tree)
         UNION ALL
-        SELECT c.tree, c.idx, CASE WHEN left_levels = 0 THEN -1 ELSE c.at END, CASE WHEN left_levels = 0 THEN 0 ELSE c.level + 1 END,
+        SELECT c.tree, c.idx, CASE WHEN left_levels = 0 THEN -1 ELSE c.spot END, CASE WHEN left_levels = 0 THEN 0 ELSE c.level + 1 END,
                CASE WHEN left_levels = 0 THEN c.tree ELSE c.place // 2 END,
                CASE WHEN left_levels = 0 THEN c.h WHEN c.place % 2 = 1 THEN sha256(e.h || c.h) ELSE sha256(c.h || coalesce(e.h, '')) END,
                CASE WHEN left_levels = 0 THEN c.proof ELSE c.proof || coalesce(e.h, '') END,
                CASE WHEN left_levels = 0 THEN (SELECT max(level) FROM top) ELSE left_levels - 1 END
-        FROM climb c LEFT JOIN every e ON e.tree = c.at AND e.level = c.level AND e.idx = c.place + 1 - 2 * (c.place % 2)
-        WHERE left_levels > 0 OR c.at >= 0),
-    ends AS (SELECT * FROM climb WHERE at = -1 AND left_levels = 0)
+        FROM climb c LEFT JOIN every e ON e.tree = c.spot AND e.level = c.level AND e.idx = c.place + 1 - 2 * (c.place % 2)
+        WHERE left_levels > 0 OR c.spot >= 0),
+    ends AS (SELECT * FROM climb WHERE spot = -1 AND left_levels = 0)
     SELECT l.doc_id, l.leaf, sub.subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(ends.proof) AS proof_sha256,
            ends.h AS folded_root, ends.h = (SELECT h FROM top WHERE n = 1) AS verified
     FROM l JOIN sub USING (tree) JOIN ends ON ends.tree = l.tree AND ends.idx = l.idx
