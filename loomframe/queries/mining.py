@@ -7,7 +7,7 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizer, Has
 from pyspark.sql import functions as F
 
 from loomframe.functions import text as T, vectors as V
-from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, similarity as sim
+from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, similarity as sim, topn
 from loomframe.operators.stages import apply, chain, fitted
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 from loomframe.session import materialise, scratch_path
@@ -147,18 +147,54 @@ def factors(spark, sf):
     return violations(rec.factor_rows(model), F.size("factors") != 8)
 
 
+def _checked_lists(top, model, owner, other, n):
+    """Whether ratings are the factors' products and, for owners whose id 50 divides, the lists those of all pairs."""
+    owners, others = (model.userFactors, model.itemFactors) if owner == "user" else (model.itemFactors, model.userFactors)
+    sides = [side.select("id", F.col("features").alias("factors")) for side in (owners, others)]
+    cells = topn.packed_cells(sides[1])
+    stated = sides[0].where(F.col("id") % 50 == 0)
+    full = topn.visited(topn.every_visit(stated, cells), cells, n)
+    best = full.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", (-F.col("other")).alias("other"))), False), 1, n).alias("best"))
+    best = best.select(F.col("id").alias(owner), F.posexplode("best").alias("place", "b"))
+    best = best.select(owner, (F.col("place") + 1).alias("rank"), (-F.col("b.other")).alias("expected"))
+    asked = F.col(owner) % 50 == 0
+    scored = rec.with_factor_score(top, model).join(best, [owner, "rank"], "left")
+    wrong = asked & ~F.col("expected").eqNullSafe(F.col(other))
+    return violations(scored, far(F.col("rating"), F.col("score"), 1e-4) | ~F.col("rank").between(1, n) | wrong)
+
+
 @query("rec_users_topn", none_broken(f"(SELECT DISTINCT o_custkey FROM {PAIRS_SQL})", "count(*) * 5"))
 def users_topn(spark, sf):
     _, model = _trained(spark, sf)
-    top = rec.items_for_users(model, 5)
-    return violations(rec.with_factor_score(top, model), far(F.col("rating"), F.col("score"), 1e-4) | (F.col("rank") > 5))
+    return _checked_lists(materialise(rec.items_for_users(model, 5), "lists"), model, "user", "item", 5)
 
 
 @query("rec_items_topn", none_broken(f"(SELECT DISTINCT l_partkey FROM {PAIRS_SQL})", "count(*) * 5"))
 def items_topn(spark, sf):
     _, model = _trained(spark, sf)
-    top = rec.users_for_items(model, 5)
-    return violations(rec.with_factor_score(top, model), far(F.col("rating"), F.col("score"), 1e-4) | (F.col("rank") > 5))
+    return _checked_lists(materialise(rec.users_for_items(model, 5), "lists"), model, "item", "user", 5)
+
+
+@query(
+    "rec_user_subset_topn",
+    none_broken(f"(SELECT DISTINCT o_custkey FROM {PAIRS_SQL} JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')", "count(*) * 10"),
+)
+def user_subset_topn(spark, sf):
+    """Lists of ten for the customers of one market segment."""
+    _, model = _trained(spark, sf)
+    chosen = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user"))
+    return _checked_lists(materialise(rec.items_for_users(model, 10, chosen), "lists"), model, "user", "item", 10)
+
+
+@query(
+    "rec_item_subset_topn",
+    none_broken(f"(SELECT DISTINCT l_partkey FROM {PAIRS_SQL} JOIN part ON l_partkey = p_partkey WHERE p_size > 40)", "count(*) * 10"),
+)
+def item_subset_topn(spark, sf):
+    """The ten best customers of each large part."""
+    _, model = _trained(spark, sf)
+    chosen = table(spark, sf, "part").where("p_size > 40").select(F.col("p_partkey").alias("item"))
+    return _checked_lists(materialise(rec.users_for_items(model, 10, chosen), "lists"), model, "item", "user", 10)
 
 
 COLD_SQL = """p AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
