@@ -1,7 +1,8 @@
 """From rows that share a key to verified links between texts, without listing all pairs of a key's rows.
 
 A method (pigeonhole blocks of sketches, bands of signatures) gives every text a number of keys, such that close texts
-share one. Links are needed only as far as they join components, so a key's rows are first compared with the
+share one, or several. Keys of few rows are cheap to count: pairs that share enough of them are verified. For the
+others, links are needed only as far as they join components, so a key's rows are first compared with the
 smallest of them alone. Where a key still holds rows of several components, its rows are compared in square tiles
 of bounded size, across components only, by a short payload; what passes is verified on the whole sets.
 """
@@ -23,6 +24,10 @@ from loomframe.session import drop_written, materialise
 FILTER_BITS = 1 << 25
 #: Rows on a side of a tile.
 TILE = 256
+#: Classes of keys by their rows, each of twice as many as the one before.
+CLASSES = 5
+#: Rows of a key whose pairs are counted.
+FEW = 16
 
 Close = Callable[[list[bytes], list[bytes], np.ndarray, np.ndarray], np.ndarray]
 
@@ -39,6 +44,92 @@ def filtered(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return hit.withColumn("_place", place).where(on).drop("_slot", "_bucket", "_bits", "_place")
 
 
+class Marks:
+    """A filter of keys as bits: numpy arrays of FILTER_BITS / 8 bytes, whatever the number of keys."""
+
+    def __init__(self, wanted: DataFrame, key: str = "key"):
+        slot = F.col(key).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+        rows = wanted.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+        self.bits = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
+        for row in rows.collect():
+            self.bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+        self.bits = self.bits.reshape(-1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the keys are in the filter; all that were marked, and a few others."""
+        slot = keys & np.int64(FILTER_BITS - 1)
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``(pairs, members)`` of ``sketches (id, part, keys)``: what may be linked by keys of few rows, and the rest.
+
+    Linked ids share at least ``spare[part] + 1`` keys of a part, of 8 bytes each. A sketch leaves out keys of many rows,
+    those of the most rows first, at most ``spare`` of them. If these are all that it has, h, its links still share
+    ``spare + 1 - h`` keys, all of few rows. ``pairs (a, b, part)`` are those that share as many. ``members
+    (key, part, id)`` are the keys of many rows that other sketches are left with: two of these sketches are either in a
+    pair or share one of them, as what both have left out of the keys that they share is what one of them has.
+    """
+    counts = exploded(sketches).groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    counts = materialise(counts, "keys")
+    repeated = Marks(counts)
+    # Classes of keys by their rows: FEW, twice as many and so on.
+    classes = [Marks(counts.where(F.col("rows") > FEW << k)) for k in range(CLASSES)]
+    drop_written(counts)
+    bound = np.array([spare[k] for k in range(len(spare))], np.int64)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, part, ids, row = _flat(batch)
+            level = np.zeros(len(keys), np.int64)
+            for marks in classes:
+                level += marks.has(keys)
+            most = bound[batch.column("part").to_numpy()]
+            # The least level from which on no more than the spare keys are left out.
+            least, left_out = np.full(len(batch), CLASSES + 1), np.zeros(len(batch), np.int64)
+            for k in range(CLASSES, 0, -1):
+                h = np.bincount(row[level >= k], minlength=len(batch))
+                fits = (h <= most) & (least == k + 1)
+                least[fits], left_out[fits] = k, h[fits]
+            need = np.where(least == 1, most + 1 - left_out, 1)
+            keep = repeated.has(keys) & (level < least[row])
+            columns = ((keys, pa.int64()), (part, pa.int32()), (ids, pa.int64()), (need[row], pa.int32()), (level > 0, pa.bool_()))
+            yield pa.record_batch([pa.array(x[keep], kind) for x, kind in columns], ["key", "part", "id", "need", "hot"])
+
+    rows = sketches.select("part", "id", "keys").mapInArrow(_by_rows(pick), "key bigint, part int, id bigint, need int, hot boolean")
+    rows = materialise(rows, "members")
+    ids = rows.where("NOT hot").groupBy("key", "part").agg(F.sort_array(F.collect_set(F.struct("id", "need"))).alias("ids")).where(F.size("ids") > 1)
+    both = lambda a, b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.greatest(a["need"], b["need"]).alias("need"))
+    after = lambda a, i: F.transform(F.slice("ids", i + 2, F.size("ids")), lambda b: both(a, b))
+    pairs = ids.select("part", F.explode(F.flatten(F.transform("ids", after))).alias("pair")).where("pair.a < pair.b")
+    met = pairs.groupBy("pair.a", "pair.b", "part").agg(F.count(F.lit(1)).alias("keys"), F.max("pair.need").alias("need"))
+    met = met.where("keys >= need").groupBy("a", "b").agg(F.min("part").alias("part"))
+    return materialise(met, "often"), rows.where("hot").select("key", "part", "id")
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, part, id, row)`` of each key of a batch's sketches."""
+    data, offsets = binary_parts(batch.column("keys"))
+    keys = data.view(np.int64) if len(data) else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(batch)), np.diff(offsets) // 8)
+    return keys, batch.column("part").to_numpy()[row], batch.column("id").to_numpy()[row], row
+
+
+def _by_rows(fn):
+    return lambda batches: fn(sliced(batches, 256))
+
+
+def exploded(sketches: DataFrame) -> DataFrame:
+    """``(key, part, id)``: a row for each key of each sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, part, ids, _ = _flat(batch)
+            yield pa.record_batch([pa.array(keys), pa.array(part, pa.int32()), pa.array(ids)], ["key", "part", "id"])
+
+    return sketches.select("part", "id", "keys").mapInArrow(_by_rows(run), "key bigint, part int, id bigint")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, denominator: int, id_col: str, text_col: str) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose shingle sets share at least numerator / denominator of their union.
 
@@ -87,11 +178,13 @@ def _tiles(close: Close):
     return run
 
 
-def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def joined(
+    keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[[DataFrame], DataFrame], pairs_too: DataFrame | None = None
+) -> DataFrame:
     """``(id, component)`` of the ids that are linked: connected by verified pairs that share a key.
 
     ``keys`` is ``(key, part, id)``, ``payloads`` ``(id, part, n, payload)``; ``close`` tells for two lists of payloads and
-    their sizes which pairs may be links, and may never miss one.
+    their sizes which pairs may be links, and may never miss one. ``pairs_too``: more ``(a, b, part)`` to test.
     """
     counts = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     counts = materialise(counts, "keys")
@@ -107,7 +200,10 @@ def joined(keys: DataFrame, payloads: DataFrame, close: Close, verify: Callable[
 
     others = members.where("id <> pivot")
     # A pair may meet in two bands; one sketch of it is enough.
-    pairs = others.groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(F.min("part").alias("part"))
+    pairs = others.select(F.col("pivot").alias("a"), F.col("id").alias("b"), "part")
+    if pairs_too is not None:
+        pairs = pairs.union(pairs_too.select("a", "b", "part"))
+    pairs = pairs.groupBy("a", "b").agg(F.min("part").alias("part"))
     left = payloads.select("part", F.col("id").alias("a"), F.col("n").alias("nx"), F.col("payload").alias("x"))
     right = payloads.select("part", F.col("id").alias("b"), F.col("n").alias("ny"), F.col("payload").alias("y"))
     near = pairs.join(right, ["part", "b"]).join(left, ["part", "a"]).select("a", "b", "x", "y", "nx", "ny")

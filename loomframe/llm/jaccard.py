@@ -2,10 +2,14 @@
 
 Every shingle of a set flips one bit of a sketch, so the bits in which two sketches differ are at most the shingles
 that only one of the sets has. Sizes fall into bands; for the largest sizes of a band the similarity allows some
-number d of such shingles, and the band's sketches are cut into d + 1 blocks of 64 bits: linked sets agree on a block
-(the pigeonhole), and on all bits but d; a short fold of the sketches shows most pairs that are not links before their
-sets are compared. A set joins the
-band above its own as well if a set there can be similar enough. Nothing is lost: each step only skips pairs that
+number d of such shingles, and the band's sketches are cut into more than d blocks of 64 bits: linked sets agree on all
+blocks but d (the pigeonhole), and on all bits but d; a short fold of the sketches shows most pairs that are not links
+before their sets are compared. A set joins the band above its own as well if a set there can be similar enough.
+
+Empty blocks, and those of one shingle, agree by chance. There are more blocks than the pigeonhole needs, and a set
+leaves out some, those that come first in an order of their contents, few bits before many. What two linked sets have
+both left out of the blocks that they agree on is what the one that goes further has, so they meet on the blocks that
+are left; as these are a few more than needed, they meet on several. Nothing is lost: each step only skips pairs that
 cannot be links.
 
 Equal sets are one class, compared once, whatever their number.
@@ -19,11 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomframe.llm.candidates import joined, verified
+from loomframe.llm.candidates import filtered, joined, often_met, verified
 from loomframe.llm.words import binary_parts, mix, shingle_sets, sliced, texts_of
 from loomframe.session import drop_written, materialise
 
-ROWS = "id bigint, n bigint, low bigint, high bigint, part int, payload binary, fold binary"
+#: Keys are of 48 bits, which takes less to shuffle; keys that agree by chance only make pairs to test.
+KEY_BITS = np.uint64((1 << 48) - 1)
+#: Blocks of a sketch for each that the pigeonhole needs.
+SPARE = 1.75
+#: The largest size of a set, for the table of its bands.
+LARGEST = 1 << 40
 
 
 class Bands:
@@ -44,35 +53,61 @@ class Bands:
             k, least = k + 1, above
         return k, least, above - 1
 
+    def needed(self, band: tuple[int, int, int]) -> int:
+        """One block more than linked sets of a band can differ in."""
+        return int(self.allowed(2 * band[2])) + 1
+
+    @staticmethod
+    def extra(needed: int) -> int:
+        """How many keys a set has beyond those that are needed: linked sets share that many and one."""
+        return needed // 4
+
+    def spare(self) -> dict[int, int]:
+        """The same by band."""
+        found, band = {}, self.of(1)
+        while band[1] < LARGEST:
+            found[band[0]] = self.extra(self.needed(band))
+            least = band[2] + 1
+            band = (band[0] + 1, least, int(least * self.ratio))
+        return found
+
     def sketch(self, items: np.ndarray, band: tuple[int, int, int]) -> np.ndarray:
         """The blocks of a set's sketch, 64 bits each."""
-        blocks = int(self.allowed(2 * band[2])) + 1
-        bits = 64 * blocks
+        needed = self.needed(band)
+        bits = 64 * max(int(SPARE * needed), needed + self.extra(needed))
         salt = np.array([band[0] + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         place = mix(items + salt) % np.uint64(bits)
         odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
         return np.packbits(odd).view(np.uint64)
 
+    def keys(self, sketch: np.ndarray, band: tuple[int, int, int]) -> np.ndarray:
+        """The join keys of a sketch: of the band, a block's number and its bits, without the first in their order."""
+        number = np.arange(len(sketch), dtype=np.uint64)
+        keys = mix(sketch ^ mix(np.uint64(band[0] << 32) + number))
+        order = np.lexsort((keys, np.bitwise_count(sketch)))
+        needed = self.needed(band)
+        return keys[order[len(sketch) - needed - self.extra(needed) :]] & KEY_BITS
+
     @staticmethod
     def fold(sketch: np.ndarray) -> np.ndarray:
-        """A sixteenth of a sketch: every so many blocks are laid over each other by exclusive or.
+        """A small part of a sketch: every so many blocks are laid over each other by exclusive or.
 
         Two folds differ in no more bits than the sketches do, and still in about twice as many as linked sets may,
         if the sets are unlike.
         """
-        words = -(-len(sketch) // 16)
+        words = -(-len(sketch) // 28)
         padded = np.zeros(-(-len(sketch) // words) * words, np.uint64)
         padded[: len(sketch)] = sketch
         return np.bitwise_xor.reduce(padded.reshape(-1, words), axis=0)
 
-    def sketches(self, items: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """The band of a set and the next, if sets of other contents can be similar enough there."""
+    def sketches(self, items: np.ndarray) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
+        """The band of a set and the next, if sets of other contents can be similar enough there, with its sketches."""
         band = self.of(len(items))
         if self.allowed(2 * band[2]) > 0:
-            yield band[0], self.sketch(items, band)
+            yield band, self.sketch(items, band)
         above = self.of(band[2] + 1)
         if len(items) * self.denominator >= self.numerator * above[1]:
-            yield above[0], self.sketch(items, above)
+            yield above, self.sketch(items, above)
 
     def close(self, x: list[bytes], y: list[bytes], nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
         """Which pairs of folds of one band's sketches differ in no more bits than linked sets may."""
@@ -86,45 +121,35 @@ class Bands:
         return good & (differ <= most)
 
 
-def described(docs: DataFrame, bands: Bands, words: int, id_col: str, text_col: str) -> DataFrame:
-    """Per text its set's size, a 128-bit digest of the set and its sketches: a row for each band that it joins."""
+def described(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, n, low, high)``: per text its set's size and a 128-bit digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            out: list[tuple] = []
-            for key, items in zip(batch.column("id").to_pylist(), shingle_sets(*binary_parts(batch.column("text")), words)):
-                low, high = (int(mix(items + np.uint64(s)).sum(dtype=np.uint64).astype(np.int64)) for s in (1, 2))
-                found = list(bands.sketches(items)) if len(items) else []
-                # A set that joins no band gets one row without a sketch.
-                for k, (part, sketch) in enumerate(found or [(-1, np.zeros(0, np.uint64))]):
-                    fold = bands.fold(sketch) if len(sketch) else sketch
-                    out.append((key, len(items), low, high, part, sketch.tobytes(), fold.tobytes(), k))
-            columns = list(zip(*out)) if out else [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
-            names = ["id", "n", "low", "high", "part", "payload", "fold", "nth"]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            sets = list(shingle_sets(*binary_parts(batch.column("text")), words))
+            digest = lambda s: pa.array([int(mix(items + np.uint64(s)).sum(dtype=np.uint64).astype(np.int64)) for items in sets], pa.int64())
+            sizes = pa.array([len(items) for items in sets], pa.int64())
+            yield pa.record_batch([batch.column("id"), sizes, digest(1), digest(2)], ["id", "n", "low", "high"])
 
-    return texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")).mapInArrow(run, ROWS + ", nth int")
+    rows = texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
+    return rows.mapInArrow(run, "id bigint, n bigint, low bigint, high bigint")
 
 
-def block_keys(sketches: DataFrame) -> DataFrame:
-    """``(key, part, id)``: a key for each block of each sketch, of the band, the block's number and its bits."""
+def sketched(docs: DataFrame, bands: Bands, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, part, n, fold, keys)``: a row for each band that a text's set joins, the keys as 8 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = binary_parts(batch.column("payload"))
-            blocks = data.view(np.uint64) if len(data) else np.zeros(0, np.uint64)
-            sizes = np.diff(offsets) // 8
-            part = np.repeat(batch.column("part").to_numpy(), sizes)
-            number = np.arange(len(blocks)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            salt = mix(part.astype(np.uint64) * np.uint64(1 << 32) + number.astype(np.uint64))
-            keys = mix(blocks ^ salt).view(np.int64)
-            ids = np.repeat(batch.column("id").to_numpy(), sizes)
-            for at in range(0, len(keys), 1 << 16):
-                s = slice(at, at + (1 << 16))
-                yield pa.record_batch([pa.array(keys[s]), pa.array(part[s], pa.int32()), pa.array(ids[s])], ["key", "part", "id"])
-
-    return sketches.select("part", "id", "payload").mapInArrow(run, "key bigint, part int, id bigint")
+        for batch in sliced(batches):
+            out: list[tuple] = []
+            for key, items in zip(batch.column("id").to_pylist(), shingle_sets(*binary_parts(batch.column("text")), words)):
+                for band, sketch in bands.sketches(items) if len(items) else ():
+                    out.append((key, band[0], len(items), bands.fold(sketch).tobytes(), bands.keys(sketch, band).tobytes()))
+            columns = list(zip(*out)) if out else [[]] * 5
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "part", "n", "fold", "keys"])
+
+    rows = texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
+    return rows.mapInArrow(run, "id bigint, part int, n bigint, fold binary, keys binary")
 
 
 def similar_sets(
@@ -137,21 +162,25 @@ def similar_sets(
     space have size 0 and link with nothing, nor do rows whose id is null. An empty table gives an empty result.
     """
     bands = Bands(numerator, denominator)
-    rows = materialise(described(docs, bands, words, id_col, text_col), "sketches")
-    own = materialise(rows.where("nth = 0").select("id", "n", "low", "high"), "own")
+    own = materialise(described(docs, words, id_col, text_col), "own")
     classes = own.where("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
     classes = materialise(classes, "classes")
     firsts = classes.select(F.col("rep").alias("id"))
-    sketches = rows.where("part >= 0").join(firsts, "id", "left_semi").select("id", "part", "n", "payload", "fold")
-    sketches = materialise(sketches, "firsts")
-    drop_written(rows)
+    # The filter passes a few others; the join behind it is on their sketches. An id that several texts have joins
+    # with all of their sketches, and what links is decided by whole sets.
+    some = filtered(texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")), "id", firsts)
+    sketches = materialise(sketched(some, bands, words, "id", "text").join(firsts, "id", "left_semi"), "sketches")
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(docs, pairs, words, numerator, denominator, id_col, text_col)
 
     folds = sketches.select("id", "part", "n", F.col("fold").alias("payload")).dropDuplicates(["id", "part"])
-    linked = joined(block_keys(sketches), folds, bands.close, verify)
+    folds = materialise(folds, "folds")
+    pairs, members = often_met(sketches, bands.spare())
     drop_written(sketches)
+    linked = joined(members, folds, bands.close, verify, pairs)
+    for table in (folds, pairs, members):
+        drop_written(table)
     to = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     to = to.select("low", "high", "n", F.coalesce("component", "rep").alias("component"))
     out = own.join(to, ["low", "high", "n"], "left")
