@@ -7,7 +7,7 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizer, Has
 from pyspark.sql import functions as F
 
 from loomframe.functions import text as T, vectors as V
-from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, similarity as sim, topn
+from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, setjoin, similarity as sim, topn
 from loomframe.operators.stages import apply, chain, fitted
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 from loomframe.session import materialise, scratch_path
@@ -412,11 +412,14 @@ def minhash_hash(spark, sf):
     return violations(scored.unionByName(blank), ~F.col("h").eqNullSafe(F.col("own")))
 
 
+SETS_SQL = r"""s AS (SELECT doc_id, list_sort(list_distinct([x FOR x IN string_split_regex(lower(text), '[ \t\n\x0B\f\r]+') IF x <> ''])) AS w FROM documents),
+             g AS (SELECT w, min(doc_id) AS id, count(*) AS n, len(w) AS size FROM s GROUP BY w),
+             t AS (SELECT id, n, size, unnest(w) AS token FROM g)"""
+
+
 @query(
     "lsh_minhash_join",
-    r"""WITH s AS (SELECT doc_id, list_sort(list_distinct([x FOR x IN string_split_regex(lower(text), '[ \t\n\x0B\f\r]+') IF x <> ''])) AS w FROM documents),
-             g AS (SELECT w, min(doc_id) AS id, count(*) AS n, len(w) AS size FROM s GROUP BY w),
-             t AS (SELECT id, n, size, unnest(w) AS token FROM g),
+    rf"""WITH {SETS_SQL},
              p AS (SELECT a.id AS first_a, b.id AS first_b, any_value(a.n) AS n_a, any_value(b.n) AS n_b, count(*) AS shared,
                           any_value(a.size + b.size) AS sizes
                    FROM t a JOIN t b ON a.token = b.token AND a.id < b.id GROUP BY 1, 2)
@@ -425,40 +428,38 @@ def minhash_hash(spark, sf):
 )
 def minhash_join(spark, sf):
     """Near-duplicate documents in linear form: a row for each pair of different close token sets, with the number of
-    documents that have each, and a row for each set that several have.
-
-    Buckets find sets up to a hashed distance of 0.3; the tokens themselves decide at 0.2. Of pairs at 0.2 or less,
-    five hashes miss one in 3,000.
-    """
-    rows = _token_sets(spark, sf)
-    model = fitted(MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=5, seed=SEED), rows.where(F.size("tokens") > 0))
-    group = F.sha2(F.concat_ws("\u0001", "tokens"), 256)
-    joined = sim.similarity_join(model, rows, None, "doc_id", "features", 0.3, "jaccard", group=group)
-    firsts = joined.groups.groupBy("group").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
-    firsts = materialise(firsts.join(rows.select(F.col("doc_id").alias("id"), "tokens"), "id"), "sets")
-    side = lambda t: firsts.select(*[F.col(c).alias(f"{c}_{t}") for c in ("group", "id", "n", "tokens")])
-    close = joined.links.select("group_a", "group_b").join(side("a"), "group_a").join(side("b"), "group_b")
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    whole = F.size("tokens_a") + F.size("tokens_b") - shared
+    documents that have each, and a row for each set that several have. Found by prefixes, so none is missed."""
+    rows = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens"))
+    joined = setjoin.similar_sets(rows, setjoin.Similarity(4, 5), "doc_id")
+    side = lambda t: joined.sets.select(F.col("group").alias(f"group_{t}"), F.col("first").alias(f"id_{t}"), F.col("n").alias(f"n_{t}"))
+    links = joined.links.join(side("a"), "group_a").join(side("b"), "group_b")
     swap = F.col("id_a") > F.col("id_b")
-    links = close.where(5 * shared >= 4 * whole).select(
+    links = links.select(
         F.least("id_a", "id_b").alias("first_a"),
         F.greatest("id_a", "id_b").alias("first_b"),
         F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
         F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"),
-        r6(1 - shared / whole).alias("distance"),
+        r6(1 - F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("distance"),
     )
-    copies = joined.copies().select(F.col("first_id").alias("first_a"), F.col("first_id").alias("first_b"), F.col("n").alias("n_a"), F.col("n").alias("n_b"), F.lit(0.0).alias("distance"))
+    copies = joined.sets.where("n > 1").select(F.col("first").alias("first_a"), F.col("first").alias("first_b"), F.col("n").alias("n_a"), F.col("n").alias("n_b"), F.lit(0.0).alias("distance"))
     return links.unionByName(copies)
 
 
-@query("join_similarity_jaccard", none_broken("documents"))
+@query(
+    "join_similarity_jaccard",
+    rf"""WITH {SETS_SQL},
+             p AS (SELECT a.id AS x, b.id AS y, count(*) AS shared, any_value(a.size + b.size) AS sizes
+                   FROM t a JOIN t b ON a.token = b.token AND a.id < b.id GROUP BY 1, 2),
+             l AS (SELECT x, y FROM p WHERE 5 * shared > 2 * (sizes - shared)),
+             c AS (SELECT id, sum(n) AS n FROM (SELECT x AS id, g.n FROM l JOIN g ON l.y = g.id UNION ALL SELECT y, g.n FROM l JOIN g ON l.x = g.id) GROUP BY 1)
+        SELECT s.doc_id, CAST(coalesce(c.n, 0) + CASE WHEN g.size > 0 THEN g.n - 1 ELSE 0 END AS BIGINT) AS n_links
+        FROM s JOIN g USING (w) LEFT JOIN c ON c.id = g.id""",
+)
 def similarity_jaccard(spark, sf):
-    rows = _token_sets(spark, sf)
-    group = F.sha2(F.concat_ws("\u0001", "tokens"), 256)
-    joined = sim.similarity_join(_minhash(rows), rows, None, "doc_id", "features", 0.6, "jaccard", group=group)
-    sets = rows.select(F.col("doc_id").alias("id"), sim.jaccard_entries("features").alias("x"))
-    return _checked_links(joined, sets, sim.jaccard_distance, 0.6, rows, close=0.2)
+    """How many other documents have a token set at a distance below 0.6, by an exact join."""
+    rows = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens"))
+    joined = setjoin.similar_sets(rows, setjoin.Similarity(2, 5, strict=True), "doc_id")
+    return joined.link_counts().select(F.col("id").alias("doc_id"), "n_links")
 
 
 @query("lsh_minhash_nn", none_broken("documents"))
