@@ -128,3 +128,29 @@ def test_rows_in_the_order_of_the_curriculum(spark, docs):
     assert len(planned) == 600 and 0 < sum(first) < 600 and all(first[: sum(first)])
     early = lambda s: np.mean([r["position"] < 0.5 for r in sequence if r["source"] == s])
     assert early("a") == pytest.approx(5 / 8, abs=0.06) and early("b") == pytest.approx(1 / 4, abs=0.06)
+
+
+def test_shards_with_a_hot_key(spark, docs):
+    """Half of the rows have one key, a third are equal; joins may be cut at skewed parts."""
+    rows = [(7, f"text number {k}") for k in range(3000)] + [(8, "all the same")] * 2000 + [(100 + k, f"t{k}") for k in range(1000)]
+    kept = {}
+    small = {"skewJoin.enabled": "true", "skewJoin.skewedPartitionThresholdInBytes": "1k", "advisoryPartitionSizeInBytes": "1k", "skewJoin.skewedPartitionFactor": "1.1"}
+    for name, value in small.items():
+        kept[name] = spark.conf.get(f"spark.sql.adaptive.{name}")
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sharding.shard_files(docs(rows), 4, bucket_bytes=2000).select("doc_id", "text", "shard", "slot").collect()
+        again = sharding.shard_files(docs(rows), 4, bucket_bytes=2000).select("doc_id", "text", "shard", "slot").collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(f"spark.sql.adaptive.{name}", value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(map(tuple, out)) == sorted(map(tuple, again))
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted(rows)
+    for s in range(4):
+        slots = sorted(r["slot"] for r in out if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    sizes = sharding.scattered(docs(rows), 4, "doc_id", "text", 1, 2000).groupBy("_bucket").agg(F.sum(sharding.text_bytes("text")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] < 3 * 2000
