@@ -45,19 +45,20 @@ def filtered(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 class Marks:
-    """A filter of keys as bits: numpy arrays of FILTER_BITS / 8 bytes, whatever the number of keys."""
+    """A filter of keys as bits: a numpy array of ``size`` / 8 bytes, whatever the number of keys."""
 
-    def __init__(self, wanted: DataFrame, key: str = "key"):
-        slot = F.col(key).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+    def __init__(self, wanted: DataFrame, key: str = "key", size: int = FILTER_BITS):
+        self.last = np.int64(size - 1)
+        slot = F.col(key).bitwiseAND(F.lit(size - 1)) + 1
         rows = wanted.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-        self.bits = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
+        self.bits = np.zeros((size >> 15, 4096), np.uint8)
         for row in rows.collect():
             self.bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
         self.bits = self.bits.reshape(-1)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         """Which of the keys are in the filter; all that were marked, and a few others."""
-        slot = keys & np.int64(FILTER_BITS - 1)
+        slot = keys & self.last
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -72,7 +73,7 @@ def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, Da
     """
     counts = exploded(sketches).groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     counts = materialise(counts, "keys")
-    repeated = Marks(counts)
+    repeated = Marks(counts, size=4 * FILTER_BITS)
     # Classes of keys by their rows: FEW, twice as many and so on.
     classes = [Marks(counts.where(F.col("rows") > FEW << k)) for k in range(CLASSES)]
     drop_written(counts)
@@ -98,12 +99,18 @@ def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, Da
 
     rows = sketches.select("part", "id", "keys").mapInArrow(_by_rows(pick), "key bigint, part int, id bigint, need int, hot boolean")
     rows = materialise(rows, "members")
-    ids = rows.where("NOT hot").groupBy("key", "part").agg(F.sort_array(F.collect_set(F.struct("id", "need"))).alias("ids")).where(F.size("ids") > 1)
-    both = lambda a, b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.greatest(a["need"], b["need"]).alias("need"))
-    after = lambda a, i: F.transform(F.slice("ids", i + 2, F.size("ids")), lambda b: both(a, b))
-    pairs = ids.select("part", F.explode(F.flatten(F.transform("ids", after))).alias("pair")).where("pair.a < pair.b")
-    met = pairs.groupBy("pair.a", "pair.b", "part").agg(F.count(F.lit(1)).alias("keys"), F.max("pair.need").alias("need"))
-    met = met.where("keys >= need").groupBy("a", "b").agg(F.min("part").alias("part"))
+    # Rows are dealt by key as they are: partial lists of mostly single rows would take more.
+    band = F.call_function("shiftleft", F.col("part").cast("bigint"), F.lit(40)) + F.col("need")
+    dealt = rows.where("NOT hot").select("key", "id", band.alias("band")).repartition("key")
+    ids = dealt.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("id", "band"))).alias("ids")).where(F.size("ids") > 1)
+    part_of = lambda x: F.call_function("shiftright", x["band"], F.lit(40)).cast("int")
+    pair = lambda a, b: F.struct(a["id"].alias("a"), b["id"].alias("b"), part_of(a).alias("part"), F.greatest(a["band"], b["band"]).alias("band"))
+    other = lambda a: lambda b: (part_of(a) == part_of(b)) & (a["id"] < b["id"])
+    after = lambda a, i: F.transform(F.filter(F.slice("ids", i + 2, F.size("ids")), other(a)), lambda b: pair(a, b))
+    pairs = ids.select(F.explode(F.flatten(F.transform("ids", after))).alias("pair"))
+    met = pairs.groupBy("pair.a", "pair.b", "pair.part").agg(F.count(F.lit(1)).alias("keys"), F.max("pair.band").alias("band"))
+    need = F.col("band") - F.call_function("shiftleft", F.col("part").cast("bigint"), F.lit(40))
+    met = met.where(F.col("keys") >= need).groupBy("a", "b").agg(F.min("part").alias("part"))
     return materialise(met, "often"), rows.where("hot").select("key", "part", "id")
 
 

@@ -166,10 +166,12 @@ def similar_sets(
     classes = own.where("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
     classes = materialise(classes, "classes")
     firsts = classes.select(F.col("rep").alias("id"))
-    # The filter passes a few others; the join behind it is on their sketches. An id that several texts have joins
-    # with all of their sketches, and what links is decided by whole sets.
+    # The filter passes a few others, whose sketches are left out by their ids. An id that several texts have joins with
+    # all of their sketches, and what links is decided by whole sets.
     some = filtered(texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")), "id", firsts)
-    sketches = materialise(sketched(some, bands, words, "id", "text").join(firsts, "id", "left_semi"), "sketches")
+    every = materialise(sketched(some, bands, words, "id", "text"), "sketches")
+    others = materialise(every.select("id").distinct().join(firsts, "id", "left_anti"), "others")
+    sketches = every.join(others, "id", "left_anti")
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(docs, pairs, words, numerator, denominator, id_col, text_col)
@@ -177,9 +179,9 @@ def similar_sets(
     folds = sketches.select("id", "part", "n", F.col("fold").alias("payload")).dropDuplicates(["id", "part"])
     folds = materialise(folds, "folds")
     pairs, members = often_met(sketches, bands.spare())
-    drop_written(sketches)
+    drop_written(every)
     linked = joined(members, folds, bands.close, verify, pairs)
-    for table in (folds, pairs, members):
+    for table in (folds, pairs, members, others):
         drop_written(table)
     to = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     to = to.select("low", "high", "n", F.coalesce("component", "rep").alias("component"))
