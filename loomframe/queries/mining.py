@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizer, HashingTF, MinHashLSH, VectorAssembler
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLSH, VectorAssembler
 from pyspark.sql import functions as F
 
 from loomframe.functions import text as T, vectors as V
-from loomframe.operators import clustering as clu, patterns as pat, recommend as rec, setjoin, similarity as sim, topn
+from loomframe.operators import clustering as clu, features as feats, patterns as pat, recommend as rec, setjoin, similarity as sim, topics, topn
 from loomframe.operators.stages import apply, chain, fitted
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 from loomframe.session import materialise, scratch_path
@@ -58,18 +58,36 @@ def gmm(spark, sf):
     return violations(model.transform(rows), far(total, F.lit(1.0)) | chosen | F.lit(uneven))
 
 
+def _term_counts(spark, sf):
+    """Counts of the terms that at least two documents have."""
+    docs = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", F.filter(T.token_array("text"), lambda t: t != "").alias("tokens"))
+    return materialise(feats.term_counts(docs, "doc_id", "tokens", min_df=2).select(F.col("doc_id").alias("key"), "term", "n"), "counts")
+
+
 @query("clu_lda", "SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS violations, CAST(30 AS BIGINT) AS terms FROM documents")
 def lda(spark, sf):
-    docs = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens"))
-    counter = fitted(CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=5000, minDF=2), docs)
-    counts = materialise(counter.transform(docs).select("doc_id", "features"), "counts")
-    model = fitted(LDA(k=10, maxIter=10, seed=SEED), counts)
-    mix = V.vector_array("topicDistribution")
-    total = F.aggregate(mix, F.lit(0.0), lambda acc, x: acc + x)
-    empty = F.size(F.unwrap_udt(F.col("features"))["values"]) == 0
-    named = clu.topic_terms(model, counter.vocabulary, spark).agg(F.count("term").alias("terms"))
-    scored = violations(model.transform(counts), far(total, F.when(empty, 0.0).otherwise(1.0)))
-    return scored.withColumn("terms", named.scalar())
+    """Ten topics on the counts of all terms: mixes and topics are shares, the bound on the log-likelihood rises from
+    pass to pass, and it and the perplexity are better than a single topic's."""
+    counts = _term_counts(spark, sf)
+    found, single = topics.fit_topics(counts, 10, passes=10, seed=SEED), topics.fit_topics(counts, 1, passes=3)
+    bounds = [h[1] for h in found.history]
+    learnt = all(b >= a - 1e-9 * abs(a) for a, b in zip(bounds, bounds[1:])) and found.log_perplexity < single.log_perplexity
+    shares = found.terms.agg(*[F.sum(F.get("weights", F.lit(t))) for t in range(10)]).first()
+    learnt = learnt and all(abs(x - 1) < 1e-6 for x in shares)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("key"))
+    # Documents without a term keep the prior's mix.
+    mixes = docs.join(found.documents, "key", "left").withColumn("mix", F.coalesce("mix", F.array_repeat(F.lit(0.1), 10)))
+    total = F.aggregate("mix", F.lit(0.0), lambda acc, x: acc + x)
+    wrong = far(total, F.lit(1.0)) | (F.size("mix") != 10) | (F.array_min("mix") <= 0)
+    named = topics.top_terms(found, 3).agg(F.count("term").alias("terms"))
+    return violations(mixes, wrong | F.lit(not learnt)).withColumn("terms", named.scalar())
+
+
+@query("clu_lda_fit")
+def lda_fit(spark, sf):
+    """The bound on the log-likelihood and the log of the perplexity after each pass. Random starts have no SQL form."""
+    found = topics.fit_topics(_term_counts(spark, sf), 10, passes=10, seed=SEED)
+    return spark.createDataFrame(found.history, "pass int, log_likelihood double, log_perplexity double")
 
 
 TRADE_SQL = """(SELECT c_nationkey AS n FROM t WHERE c_nationkey <> s_nationkey UNION SELECT s_nationkey FROM t WHERE c_nationkey <> s_nationkey)"""
