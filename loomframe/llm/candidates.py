@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomframe.llm.common import components
+from loomframe.llm.common import components, small_batches
 from loomframe.llm.words import binary_parts, shingle_sets, sliced, texts_of
 from loomframe.session import drop_written, materialise
 
@@ -62,7 +62,7 @@ class Marks:
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+def often_met(sketches: DataFrame, spare: dict[int, int], written: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(pairs, members)`` of ``sketches (id, part, keys)``: what may be linked by keys of few rows, and the rest.
 
     Linked ids share at least ``spare[part] + 1`` keys of a part, of 8 bytes each. A sketch leaves out keys of many rows,
@@ -70,6 +70,7 @@ def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, Da
     ``spare + 1 - h`` keys, all of few rows. ``pairs (a, b, part)`` are those that share as many. ``members
     (key, part, id)`` are the keys of many rows that other sketches are left with: two of these sketches are either in a
     pair or share one of them, as what both have left out of the keys that they share is what one of them has.
+    ``written``, the table that ``sketches`` reads, is dropped on the way.
     """
     counts = exploded(sketches).groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     counts = materialise(counts, "keys")
@@ -99,16 +100,19 @@ def often_met(sketches: DataFrame, spare: dict[int, int]) -> tuple[DataFrame, Da
 
     rows = sketches.select("part", "id", "keys").mapInArrow(_by_rows(pick), "key bigint, part int, id bigint, need int, hot boolean")
     rows = materialise(rows, "members")
+    drop_written(written)
     # Rows are dealt by key as they are: partial lists of mostly single rows would take more.
     band = F.call_function("shiftleft", F.col("part").cast("bigint"), F.lit(40)) + F.col("need")
     dealt = rows.where("NOT hot").select("key", "id", band.alias("band")).repartition("key")
     ids = dealt.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("id", "band"))).alias("ids")).where(F.size("ids") > 1)
     part_of = lambda x: F.call_function("shiftright", x["band"], F.lit(40)).cast("int")
-    pair = lambda a, b: F.struct(a["id"].alias("a"), b["id"].alias("b"), part_of(a).alias("part"), F.greatest(a["band"], b["band"]).alias("band"))
+    pair = lambda a, b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.greatest(a["band"], b["band"]).alias("band"))
     other = lambda a: lambda b: (part_of(a) == part_of(b)) & (a["id"] < b["id"])
     after = lambda a, i: F.transform(F.filter(F.slice("ids", i + 2, F.size("ids")), other(a)), lambda b: pair(a, b))
     pairs = ids.select(F.explode(F.flatten(F.transform("ids", after))).alias("pair"))
-    met = pairs.groupBy("pair.a", "pair.b", "pair.part").agg(F.count(F.lit(1)).alias("keys"), F.max("pair.band").alias("band"))
+    pairs = pairs.select("pair.a", "pair.b", "pair.band").repartition("a", "b")
+    part = F.call_function("shiftright", F.col("band"), F.lit(40)).cast("int")
+    met = pairs.groupBy("a", "b", part.alias("part")).agg(F.count(F.lit(1)).alias("keys"), F.max("band").alias("band"))
     need = F.col("band") - F.call_function("shiftleft", F.col("part").cast("bigint"), F.lit(40))
     met = met.where(F.col("keys") >= need).groupBy("a", "b").agg(F.min("part").alias("part"))
     return materialise(met, "often"), rows.where("hot").select("key", "part", "id")
@@ -149,7 +153,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, deno
             sets = [s.tobytes() for s in shingle_sets(*binary_parts(batch.column("text")), words)]
             yield pa.record_batch([batch.column("id"), pa.array(sets, pa.binary())], ["id", "items"])
 
-    sets = materialise(filtered(texts_of(docs, id_col, text_col), "id", ids).mapInArrow(cut, "id bigint, items binary"), "sets")
+    with small_batches(docs.sparkSession):
+        sets = materialise(filtered(texts_of(docs, id_col, text_col), "id", ids).mapInArrow(cut, "id bigint, items binary"), "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +168,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, numerator: int, deno
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x")).dropDuplicates(["a"])
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y")).dropDuplicates(["b"])
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    links = materialise(both.mapInArrow(compare, "a bigint, b bigint"), "links")
+    with small_batches(docs.sparkSession):
+        links = materialise(both.mapInArrow(compare, "a bigint, b bigint"), "links")
     drop_written(sets)
     return links
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loomframe.session import drop_written, materialise
 
@@ -12,6 +14,18 @@ def width(df: DataFrame, least: int = 1) -> int:
     return max(least, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512):
+    """Send at most so many rows at once to Python: whole texts and sets take kilobytes each, on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def range_number(df: DataFrame, key: str, ranges: int) -> Column:
     """The number of the range that a row's key falls into; ranges hold about as many rows each. Nulls come first.
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomframe.llm.candidates import filtered, joined, often_met, verified
+from loomframe.llm.common import small_batches
 from loomframe.llm.words import binary_parts, mix, shingle_sets, sliced, texts_of
 from loomframe.session import drop_written, materialise
 
@@ -162,14 +163,17 @@ def similar_sets(
     space have size 0 and link with nothing, nor do rows whose id is null. An empty table gives an empty result.
     """
     bands = Bands(numerator, denominator)
-    own = materialise(described(docs, words, id_col, text_col), "own")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        own = materialise(described(docs, words, id_col, text_col), "own")
     classes = own.where("n > 0 and id is not null").groupBy("low", "high", "n").agg(F.min("id").alias("rep"))
     classes = materialise(classes, "classes")
     firsts = classes.select(F.col("rep").alias("id"))
     # The filter passes a few others, whose sketches are left out by their ids. An id that several texts have joins with
     # all of their sketches, and what links is decided by whole sets.
     some = filtered(texts_of(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")), "id", firsts)
-    every = materialise(sketched(some, bands, words, "id", "text"), "sketches")
+    with small_batches(spark):
+        every = materialise(sketched(some, bands, words, "id", "text"), "sketches")
     others = materialise(every.select("id").distinct().join(firsts, "id", "left_anti"), "others")
     sketches = every.join(others, "id", "left_anti")
 
@@ -178,8 +182,7 @@ def similar_sets(
 
     folds = sketches.select("id", "part", "n", F.col("fold").alias("payload")).dropDuplicates(["id", "part"])
     folds = materialise(folds, "folds")
-    pairs, members = often_met(sketches, bands.spare())
-    drop_written(every)
+    pairs, members = often_met(sketches, bands.spare(), every)
     linked = joined(members, folds, bands.close, verify, pairs)
     for table in (folds, pairs, members, others):
         drop_written(table)
