@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomframe.functions.vectors import euclidean, vector_array
-from loomframe.operators.relational import lookup
-from loomframe.operators.stages import vocabulary_frame
 from loomframe.session import ensure_checkpoint_dir
 
 
@@ -18,13 +17,31 @@ def centre_distances(model, features: str) -> Column:
     return F.array(*[euclidean(x, centre) for centre in centres])
 
 
-def topic_terms(model, vocabulary: list[str], spark, terms: int = 3) -> DataFrame:
-    """``(topic, rank, term, weight)`` of the heaviest terms."""
-    topics = model.describeTopics(terms).select(
-        "topic", F.posexplode(F.arrays_zip(F.col("termIndices").alias("pos"), F.col("termWeights").alias("w"))).alias("rank", "e")
-    )
-    flat = topics.select("topic", "rank", F.col("e.pos").alias("pos"), F.col("e.w").alias("weight"))
-    return lookup(flat, vocabulary_frame(spark, vocabulary), "pos").select("topic", "rank", "term", "weight")
+def component_rows(spark, model) -> DataFrame:
+    """``(component, weight, mean, covariance)`` of a Gaussian mixture, covariances row by row."""
+    rows = []
+    for k, (weight, shape) in enumerate(zip(model.weights, model.gaussians)):
+        rows.append((k, float(weight), [float(x) for x in shape.mean.toArray()], [float(x) for x in shape.cov.toArray().reshape(-1)]))
+    return spark.createDataFrame(rows, "component int, weight double, mean array<double>, covariance array<double>")
+
+
+def responsibilities(components: DataFrame, features: str) -> Column:
+    """The probability of each component for a row, from the rows of :func:`component_rows`."""
+    x, logs = vector_array(features), []
+    for row in components.orderBy("component").collect():
+        mean, width = np.array(row["mean"]), len(row["mean"])
+        values, axes = np.linalg.eigh(np.array(row["covariance"]).reshape(width, width))
+        whitened = axes / np.sqrt(values)
+        # The squared length of the whitened row, an axis at a time.
+        distance = F.lit(0.0)
+        for axis in whitened.T:
+            weights, shift = F.array(*[F.lit(float(w)) for w in axis]), float(axis @ mean)
+            along = F.aggregate(F.zip_with(x, weights, lambda a, b: a * b), F.lit(-shift), lambda acc, v: acc + v)
+            distance = distance + along * along
+        logs.append(F.lit(float(np.log(row["weight"]) - np.log(values).sum() / 2)) - distance / 2)
+    highest = F.greatest(*logs)
+    parts = F.array(*[F.exp(value - highest) for value in logs])
+    return F.transform(parts, lambda v: v / F.aggregate(parts, F.lit(0.0), lambda acc, y: acc + y))
 
 
 def undirected_edges(edges: DataFrame, src: str, dst: str, weight: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomframe.functions.vectors import array_vector, explode_vector, vector_array
 
-from loomframe.queries.registry import far, none_broken, query, r6, table, violations
+from loomframe.queries.registry import far, none_broken, query, r6, table, violations, wide
 from loomframe.session import persisted, scratch_path
 from loomframe.sources import files, models
 
@@ -55,18 +55,22 @@ def tsv(spark, sf):
 
 @query(
     "src_rating_lines",
-    """SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS item,
-              CAST(l_quantity AS FLOAT) AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS ts
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    """WITH l AS (SELECT o_custkey + 1099511627776 AS u, l_partkey AS i, l_quantity, l_shipdate, l_returnflag = 'R' AS cut
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+       SELECT CAST(u AS BIGINT) AS "user", CAST(i AS BIGINT) AS item, CAST(l_quantity AS FLOAT) AS rating,
+              CAST(epoch(l_shipdate) AS BIGINT) AS ts, NULL AS rejected FROM l WHERE NOT cut
+       UNION ALL SELECT NULL, NULL, NULL, NULL, u || '::' || i || '::none' FROM l WHERE cut""",
 )
 def rating_lines(spark, sf):
+    """Kept ratings and rejected lines; users have ids above 2 to the 40, returned items lines without a rating."""
     path = scratch_path(spark, "ratings")
     items = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    items.select(
-        F.concat_ws("::", "o_custkey", "l_partkey", "l_quantity", F.unix_timestamp("l_shipdate")).alias("value")
-    ).write.text(path)
-    ratings, _ = files.parse_ratings(spark.read.text(path))
-    return ratings
+    user = F.col("o_custkey") + F.lit(1 << 40)
+    whole = F.concat_ws("::", user, "l_partkey", "l_quantity", F.unix_timestamp("l_shipdate"))
+    broken = F.concat_ws("::", user, "l_partkey", F.lit("none"))
+    items.select(F.when(F.col("l_returnflag") == "R", broken).otherwise(whole).alias("value")).write.text(path)
+    ratings, rejected = files.parse_ratings(spark.read.text(path))
+    return ratings.withColumn("rejected", F.lit(None).cast("string")).unionByName(rejected.select(F.col("value").alias("rejected")), allowMissingColumns=True)
 
 
 @query(
@@ -148,16 +152,21 @@ def text_charset(spark, sf):
 
 @query(
     "src_bad_label_report",
-    """SELECT o_orderkey AS source_id, o_orderpriority AS label FROM orders
+    """WITH l AS (SELECT o_orderkey, o_orderpriority, o_orderkey % 16 AS shard,
+                         row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) AS line_number FROM orders)
+       SELECT o_orderkey AS source_id, o_orderpriority AS label, 'shard=' || shard AS file, line_number FROM l
        WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
 )
 def bad_label_report(spark, sf):
+    """Lines with an unknown label, by the folder of their file and their number in it."""
     path = scratch_path(spark, "labels")
-    orders = table(spark, sf, "orders")
-    orders.select(F.concat_ws("\t", "o_orderpriority", "o_orderkey").alias("value")).write.text(path)
-    lines = files.read_numbered_lines(spark, path)
-    bad = files.unknown_labels(lines, "value", ["1-URGENT", "2-HIGH", "3-MEDIUM"], sep="\t")
-    return bad.select(F.split("value", "\t")[1].cast("bigint").alias("source_id"), "label")
+    orders = table(spark, sf, "orders").withColumn("shard", F.pmod("o_orderkey", F.lit(16)))
+    lines = orders.repartition("shard").sortWithinPartitions("shard", "o_orderkey")
+    lines.select("shard", F.concat_ws("\t", "o_orderpriority", "o_orderkey").alias("value")).write.partitionBy("shard").text(path)
+    bad = files.unknown_labels(files.read_numbered_lines(spark, path), "value", ["1-URGENT", "2-HIGH", "3-MEDIUM"], sep="\t")
+    return bad.select(
+        F.split("value", "\t")[1].cast("bigint").alias("source_id"), "label", F.regexp_extract("file", "/(shard=[0-9]+)/", 1).alias("file"), "line_number"
+    )
 
 
 def _text_stages():
@@ -184,17 +193,23 @@ def _differing(first, second):
     return violations(both, far(F.col("p1")[1], F.col("p2")[1], 1e-9) | (F.col("y1") != F.col("y2")))
 
 
-@query("sink_pipeline_save", none_broken("documents JOIN labels USING (doc_id)"))
+def _all_documents(spark, sf):
+    return wide(spark, sf, "documents", "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+@query("sink_pipeline_save", none_broken("documents"))
 def pipeline_save(spark, sf):
-    docs = _labelled_documents(spark, sf)
-    model = _text_stages().fit(docs)
+    """Trained on the labelled documents; the saved model scores all documents like the one that was trained."""
+    docs = _all_documents(spark, sf)
+    model = _text_stages().fit(_labelled_documents(spark, sf))
     back = models.load_fitted(models.save(model, scratch_path(spark, "model")))
     return _differing(model.transform(docs), back.transform(docs))
 
 
-@query("src_pipeline_load", none_broken("documents JOIN labels USING (doc_id)"))
+@query("src_pipeline_load", none_broken("documents"))
 def pipeline_load(spark, sf):
-    docs = _labelled_documents(spark, sf)
+    """Loaded stages, trained on the labelled documents, score all documents like the stages that were saved."""
+    labelled, docs = _labelled_documents(spark, sf), _all_documents(spark, sf)
     stages = _text_stages()
     back = models.load_unfitted(models.save(stages, scratch_path(spark, "stages")))
-    return _differing(stages.fit(docs).transform(docs), back.fit(docs).transform(docs))
+    return _differing(stages.fit(labelled).transform(docs), back.fit(labelled).transform(docs))

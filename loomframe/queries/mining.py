@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLSH, VectorAssembler
 from pyspark.sql import functions as F
@@ -48,14 +49,17 @@ def bisecting(spark, sf):
 
 @query("clu_gmm", none_broken("lineitem"))
 def gmm(spark, sf):
+    """Probabilities recomputed from the table of weights, means and covariances; better than a single component."""
     lines = table(spark, sf, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
     rows = apply(VectorAssembler(inputCols=["l_quantity", "price"], outputCol="features"), lines)
     model = fitted(GaussianMixture(k=2, maxIter=20, seed=SEED), rows)
-    p = V.vector_array("probability")
-    total = F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
-    uneven = abs(sum(model.weights) - 1) > 1e-9
+    parts = clu.component_rows(spark, model)
+    p, again = V.vector_array("probability"), clu.responsibilities(parts, "features")
+    off = F.array_max(F.zip_with(p, again, lambda x, y: F.abs(x - y))) > 1e-6
     chosen = F.get(p, F.col("prediction")) < F.array_max(p)
-    return violations(model.transform(rows), far(total, F.lit(1.0)) | chosen | F.lit(uneven))
+    single = rows.agg(F.count(F.lit(1)), F.var_pop("l_quantity"), F.var_pop("price"), F.covar_pop("l_quantity", "price")).first()
+    alone = -single[0] / 2 * (2 * np.log(2 * np.pi) + 2 + np.log(single[1] * single[2] - single[3] ** 2))
+    return violations(model.transform(rows), off | chosen | F.lit(not model.summary.logLikelihood > alone))
 
 
 def _term_counts(spark, sf):
@@ -136,10 +140,32 @@ def als(spark, sf):
     return violations(scored, far(F.col("prediction"), F.col("score"), 1e-4) | ~F.coalesce(learnt, F.lit(False)))
 
 
+def _mean_factors(table_of_factors, rank):
+    return np.array(table_of_factors.agg(*[F.avg(F.get("features", F.lit(k))) for k in range(rank)]).first(), np.float64)
+
+
 @query("rec_als_implicit", none_broken(PAIRS_SQL))
 def als_implicit(spark, sf):
+    """Scores are products of the factors, and what was bought scores higher than all pairs do on average."""
     ratings, model = _trained(spark, sf, implicit=True)
-    return violations(rec.with_factor_score(model.transform(ratings), model), far(F.col("prediction"), F.col("score"), 1e-4))
+    scored = rec.with_factor_score(model.transform(ratings), model)
+    bought = scored.agg(F.avg("prediction")).first()[0]
+    learnt = bought > 1.5 * abs(float(_mean_factors(model.userFactors, 8) @ _mean_factors(model.itemFactors, 8)))
+    return violations(scored, far(F.col("prediction"), F.col("score"), 1e-4) | F.lit(not learnt))
+
+
+@query("rec_large_ids", none_broken(PAIRS_SQL))
+def large_ids(spark, sf):
+    """Ids beyond 2 to the 31 are numbered for training; predictions come back under the ids."""
+    ratings = _ratings(spark, sf).withColumns({"user": F.col("user") + F.lit(1 << 40), "item": F.col("item") * F.lit(-(1 << 35))})
+    numbered, users, items = rec.numbered(materialise(ratings, "ratings"))
+    model = rec.train(materialise(numbered, "numbered"), SEED, rank=8, iterations=5)
+    scored = rec.with_factor_score(model.transform(numbered), model)
+    back = scored.join(users.withColumnRenamed("id", "user_id"), "user").join(items.withColumnRenamed("id", "item_id"), "item")
+    found = ratings.join(back.select(F.col("user_id").alias("user"), F.col("item_id").alias("item"), "prediction", "score"), ["user", "item"], "left")
+    error = F.sqrt(F.avg((F.col("prediction") - F.col("rating")) ** 2)) < F.stddev_pop("rating")
+    learnt = found.agg(error).scalar()
+    return violations(found, F.col("score").isNull() | far(F.col("prediction"), F.col("score"), 1e-4) | ~F.coalesce(learnt, F.lit(False)))
 
 
 @query("rec_predict_pairs", none_broken(PAIRS_SQL))

@@ -42,7 +42,7 @@ def parse_ratings(lines: DataFrame, sep: str = "::", fields: int = 4, strict: bo
     """
     pattern = "\\Q" + sep + "\\E"
     parts = F.split("value", pattern)
-    kinds = [("user", "int"), ("item", "int"), ("rating", "float"), ("ts", "bigint")][:fields]
+    kinds = [("user", "bigint"), ("item", "bigint"), ("rating", "float"), ("ts", "bigint")][:fields]
     parsed = lines.withColumn("_p", parts).select(
         "value",
         F.size("_p").alias("_n"),
@@ -54,7 +54,7 @@ def parse_ratings(lines: DataFrame, sep: str = "::", fields: int = 4, strict: bo
     names = [name for name, _ in kinds]
     if strict:
         fail = F.raise_error(F.concat(F.lit("malformed rating line: "), F.col("value")))
-        checked = parsed.withColumn("user", F.when(whole, F.col("user")).otherwise(fail.cast("int")))
+        checked = parsed.withColumn("user", F.when(whole, F.col("user")).otherwise(fail.cast("bigint")))
         return checked.select(*names), parsed.filter(F.lit(False)).select("value")
     return parsed.filter(whole).select(*names), parsed.filter(~whole).select("value")
 
