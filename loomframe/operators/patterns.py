@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel, PrefixSpan
 from pyspark.sql import DataFrame, functions as F
 
@@ -129,3 +131,50 @@ def frequent_event_sequences(
     for level in levels[1:]:
         out = out.unionByName(level)
     return out
+
+
+def frequent_itemset_sequences(
+    events: DataFrame, key: list[str], step: str, item: str, min_support: float, max_items: int = 3, per_shard: int = 100_000
+) -> DataFrame:
+    """``(pattern, freq)`` of sequences of itemsets, straight from an event table: the items of a key's equal ``step``
+    are one itemset, and steps follow in their order.
+
+    No sequence is collected. Kept are the steps at which a pattern's last itemset can stand in each sequence. An item
+    more in that itemset is a join on the same step, with items in their order so that each itemset is met once; an
+    itemset more is a join with the steps behind the earliest. Steps of sequences of more than ``per_shard`` events are
+    spread over a join key for each so many of them. Rows with a null step or item are left out; repeated events count
+    once. The support is a share of the sequences that are left.
+    """
+    rows = events.select(*key, F.col(step).alias("_at"), F.col(item).alias("_item")).where("_at IS NOT NULL AND _item IS NOT NULL")
+    rows = materialise(rows.distinct(), "events")
+    sizes = rows.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / per_shard).cast("int").alias("_shards")).where("_shards > 1")
+    sizes = materialise(sizes, "sizes")
+    shards = F.coalesce("_shards", F.lit(1))
+    needed = max(1, math.ceil(min_support * rows.select(*key).distinct().count() - 1e-9))
+    rows = lookup(rows, sizes, key).withColumn("_shard", F.pmod(F.xxhash64("_at"), shards).cast("int")).drop("_shards")
+    at = [*key, "_shard", "_at"]
+    ends = rows.select(*at, F.array(F.array("_item")).alias("pattern"))
+    levels = []
+    for size in range(1, max_items + 1):
+        ends = materialise(ends, "ends")
+        counted = ends.select(*key, "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("freq"))
+        counted = materialise(counted.where(F.col("freq") >= needed), "patterns")
+        levels.append(counted)
+        if size == max_items or counted.isEmpty():
+            break
+        ends = ends.join(counted.select("pattern"), "pattern", "left_semi")
+        if size == 1:
+            rows = materialise(rows.join(counted.select(F.col("pattern")[0][0].alias("_item")), "_item", "left_semi"), "events")
+        last = F.element_at("pattern", -1)
+        within = ends.join(rows, at).where(F.col("_item") > F.element_at(last, -1))
+        grown = F.concat(F.slice("pattern", 1, F.size("pattern") - 1), F.array(F.concat(last, F.array("_item"))))
+        within = within.select(*at, grown.alias("pattern"))
+        first = ends.groupBy(*key, "pattern").agg(F.min("_at").alias("_first"))
+        spread = lookup(first, sizes, key).withColumn("_shard", F.explode(F.sequence(F.lit(0), shards - 1))).drop("_shards")
+        behind = rows.join(spread, [*key, "_shard"]).where(F.col("_at") > F.col("_first"))
+        behind = behind.select(*at, F.concat("pattern", F.array(F.array("_item"))).alias("pattern"))
+        ends = within.unionByName(behind)
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLSH, VectorAssembler
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from loomframe.functions import text as T, vectors as V
 from loomframe.operators import clustering as clu, features as feats, patterns as pat, recommend as rec, setjoin, similarity as sim, topics, topn
@@ -358,6 +358,26 @@ def sequences(spark, sf):
     return found.select(F.concat_ws(">", "pattern").alias("pattern"), "freq")
 
 
+@query(
+    "fpm_sequences_itemsets",
+    """WITH e AS (SELECT DISTINCT user_id AS u, CAST(floor(epoch(ts) / 604800) AS BIGINT) AS w, event_type AS i FROM events),
+            n AS (SELECT count(DISTINCT u) AS n FROM e),
+            t AS (SELECT x.u, x.w, x.i || '+' || y.i AS i FROM e x JOIN e y USING (u, w) WHERE x.i < y.i),
+            p AS (SELECT u, i AS pattern FROM e UNION ALL SELECT u, i FROM t
+                  UNION ALL SELECT x.u, x.i || '>' || y.i FROM e x JOIN e y ON x.u = y.u AND x.w < y.w
+                  UNION ALL SELECT x.u, x.i || '+' || y.i || '+' || z.i FROM e x JOIN e y USING (u, w) JOIN e z USING (u, w) WHERE x.i < y.i AND y.i < z.i
+                  UNION ALL SELECT x.u, x.i || '>' || y.i FROM t x JOIN e y ON x.u = y.u AND x.w < y.w
+                  UNION ALL SELECT x.u, x.i || '>' || y.i FROM e x JOIN t y ON x.u = y.u AND x.w < y.w
+                  UNION ALL SELECT x.u, x.i || '>' || y.i || '>' || z.i FROM e x JOIN e y ON x.u = y.u AND x.w < y.w JOIN e z ON y.u = z.u AND y.w < z.w)
+       SELECT pattern, count(DISTINCT u) AS freq FROM p, n GROUP BY pattern, n HAVING count(DISTINCT u) >= ceil(0.3 * n)""",
+)
+def itemset_sequences(spark, sf):
+    """Up to three event types of each user's weeks, in the same week or in later ones."""
+    events = table(spark, sf, "events").select("user_id", F.floor(F.unix_timestamp("ts") / 604800).alias("week"), "event_type")
+    found = pat.frequent_itemset_sequences(events, ["user_id"], "week", "event_type", 0.3, 3)
+    return found.select(F.concat_ws(">", F.transform("pattern", lambda s: F.concat_ws("+", s))).alias("pattern"), "freq")
+
+
 # ---- similarity
 
 BRP = dict(inputCol="features", outputCol="hashes", bucketLength=1.0, numHashTables=3, seed=SEED)
@@ -385,43 +405,35 @@ def brp_hash(spark, sf):
     return violations(scored, (F.size("h") != 3) | ~same)
 
 
-PROBES = 50
-
-
-def _checked_links(joined, vectors, distance, threshold, inputs, close=None):
-    """Inputs joined, and what is wrong: pairs whose distance, measured again from the rows, is off or too large; a
-    join without links; and, where ``close`` is given, more than a tenth of the neighbours closer than that missing
-    from the join, for the first 50 rows as a stated query set."""
+def _checked_links(joined, left, right, threshold, close, inputs):
+    """Inputs joined, and what is wrong: pairs whose distance, measured again from the rows, is off or too large; a join
+    without links; more than a tenth of the neighbours closer than ``close`` missing from the join, for the left rows
+    whose id 50 divides against all right rows."""
     ids = materialise(joined.linked_pairs(), "pairs")
-    a = vectors.select(F.col("id").alias("id_a"), F.col("x").alias("x_a"))
-    b = vectors.select(F.col("id").alias("id_b"), F.col("x").alias("x_b"))
+    a, b = left.select(F.col("id").alias("id_a"), F.col("values").alias("x_a")), right.select(F.col("id").alias("id_b"), F.col("values").alias("x_b"))
     measured = ids.join(a, "id_a").join(b, "id_b")
-    again = distance(F.col("x_a"), F.col("x_b"))
+    again = V.euclidean(F.col("x_a"), F.col("x_b"))
     bad = measured.filter(far(F.col("distance"), again, 1e-6) | (F.col("distance") >= threshold) | (F.col("id_a") == F.col("id_b"))).count()
-    bad += ids.isEmpty()
-    if close is not None:
-        asked = F.broadcast(vectors.orderBy("id").limit(PROBES).select(F.col("id").alias("q"), F.col("x").alias("y")))
-        near = vectors.crossJoin(asked).where((F.col("id") != F.col("q")) & (distance(F.col("x"), F.col("y")) < close)).select("id", "q")
-        either = ids.select(F.col("id_a").alias("id"), F.col("id_b").alias("q")).union(ids.select("id_b", "id_a"))
-        groups = joined.groups.select("group", "id")
-        copies = groups.join(groups.select("group", F.col("id").alias("q")).join(asked.select("q"), "q"), "group").select("id", "q")
-        near = materialise(near, "near")
-        found = near.join(either.union(copies).distinct(), ["id", "q"], "left_semi").count()
-        bad += found < 0.9 * near.count()
+    bad += ids.count() - measured.count() + ids.isEmpty()
+    near = topn.vectors_within(left.where("id % 50 = 0"), right, close).where("id <> other").select("id", "other")
+    either = ids.select(F.col("id_a").alias("id"), F.col("id_b").alias("other"))
+    if len(joined.sides) == 1:
+        either = either.union(ids.select("id_b", "id_a"))
+    groups = joined.groups.select("group", "id")
+    copies = groups.where("id % 50 = 0").join(groups.select("group", F.col("id").alias("other")), "group").select("id", "other")
+    near = materialise(near, "near")
+    found = near.join(either.union(copies).distinct(), ["id", "other"], "left_semi").count()
+    bad += found < 0.9 * near.count()
     return inputs.agg(F.count(F.lit(1)).alias("rows_scored")).withColumn("violations", F.lit(int(bad)).cast("bigint"))
 
 
-def _euclid_self(spark, sf, block):
-    rows = _embeddings(spark, sf)
-    model = fitted(BucketedRandomProjectionLSH(**BRP), rows)
-    joined = sim.similarity_join(model, rows, None, "vec_id", "features", 1.2, "euclidean", block=block)
-    vectors = rows.select(F.col("vec_id").alias("id"), V.vector_array("features").alias("x"))
-    return _checked_links(joined, vectors, V.euclidean, 1.2, rows, close=0.35)
-
-
 @query("lsh_brp_join", none_broken("embeddings"))
 def brp_join(spark, sf):
-    return _euclid_self(spark, sf, sim.BLOCK_ROWS)
+    rows = _embeddings(spark, sf)
+    model = fitted(BucketedRandomProjectionLSH(**BRP), rows)
+    joined = sim.similarity_join(model, rows, None, "vec_id", "features", 1.2, "euclidean")
+    vectors = materialise(rows.select(F.col("vec_id").alias("id"), V.vector_array("features").alias("values")), "vectors")
+    return _checked_links(joined, vectors, vectors, 1.2, 0.35, rows)
 
 
 @query("join_similarity_euclid", none_broken("embeddings"))
@@ -431,18 +443,26 @@ def similarity_euclid(spark, sf):
     odd = F.col("label") % 2 == 1
     model = fitted(BucketedRandomProjectionLSH(**BRP), rows)
     joined = sim.similarity_join(model, rows.filter(~odd), rows.filter(odd), "vec_id", "features", 1.2, "euclidean", block=64)
-    vectors = rows.select(F.col("vec_id").alias("id"), V.vector_array("features").alias("x"))
-    return _checked_links(joined, vectors, V.euclidean, 1.2, rows)
+    vectors = materialise(rows.select("label", F.col("vec_id").alias("id"), V.vector_array("features").alias("values")), "vectors")
+    return _checked_links(joined, vectors.where(~odd), vectors.where(odd), 1.2, 0.35, rows)
 
 
-@query("lsh_brp_nn", "SELECT CAST(10 AS BIGINT) AS rows_scored, CAST(0 AS BIGINT) AS violations FROM embeddings LIMIT 1")
+@query(
+    "lsh_brp_nn",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+            d AS (SELECT q.vec_id AS asked, v.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
+                  FROM v q, v WHERE q.vec_id % 50 = 0)
+       SELECT asked, CAST(row_number() OVER (PARTITION BY asked ORDER BY round(d, 7), vec_id) AS INTEGER) AS rank, vec_id, round(d, 6) + 0.0 AS distance
+       FROM d QUALIFY rank <= 10""",
+)
 def brp_nn(spark, sf):
-    rows = _embeddings(spark, sf)
-    model = fitted(BucketedRandomProjectionLSH(**BRP), rows)
-    key = rows.orderBy("vec_id").first()["features"]
-    near = sim.nearest(model, rows, key, 10)
-    again = V.euclidean(V.vector_array("features"), F.array(*[F.lit(float(x)) for x in key]))
-    return violations(near, far(F.col("distance"), again, 1e-9))
+    """The ten nearest vectors of every vector whose id 50 divides, all rows searched as far as bounds leave them open."""
+    rows = _embeddings(spark, sf).select(F.col("vec_id").alias("id"), V.vector_array("features").alias("values"))
+    # A few more than asked for, as distances that agree when rounded are ordered by id.
+    found = topn.nearest_vectors(rows.where("id % 50 = 0"), rows, 16)
+    order = Window.partitionBy("id").orderBy(F.round("distance", 7), "other")
+    best = found.withColumn("rank", F.row_number().over(order)).where("rank <= 10")
+    return best.select(F.col("id").alias("asked"), "rank", F.col("other").alias("vec_id"), r6("distance").alias("distance"))
 
 
 @query("lsh_minhash_hash", none_broken("documents"))
@@ -506,15 +526,17 @@ def similarity_jaccard(spark, sf):
     return joined.link_counts().select(F.col("id").alias("doc_id"), "n_links")
 
 
-@query("lsh_minhash_nn", none_broken("documents"))
+@query(
+    "lsh_minhash_nn",
+    rf"""WITH {SETS_SQL}, k AS (SELECT w FROM s WHERE w <> [] ORDER BY doc_id LIMIT 1),
+            d AS (SELECT doc_id, len(list_intersect(s.w, k.w)) AS shared, len(s.w) + len(k.w) AS sizes FROM s, k WHERE s.w <> [])
+       SELECT CAST(row_number() OVER (ORDER BY round(1 - shared / (sizes - shared), 9), doc_id) AS INTEGER) AS rank, doc_id,
+              round(1 - shared / (sizes - shared), 6) + 0.0 AS distance
+       FROM d QUALIFY rank <= 10""",
+)
 def minhash_nn(spark, sf):
-    """The key is in its own answer, and as many rows share a bucket with it as the answer has, up to five."""
-    every = materialise(_token_sets(spark, sf), "sets")
-    rows = every.where(F.size("tokens") > 0)
-    first = rows.orderBy("doc_id").first()
-    key, model = first["features"], _minhash(rows)
-    near = materialise(sim.nearest(model, rows, key, 5).select("doc_id", "features", "distance"), "near")
-    again = sim.jaccard_distance(sim.jaccard_entries("features"), F.array(*[F.lit(int(i)) for i in key.indices]))
-    bad = near.filter(far(F.col("distance"), again, 1e-9)).count()
-    bad += near.filter((F.col("doc_id") == first["doc_id"]) & (F.col("distance") == 0)).isEmpty()
-    return every.agg(F.count(F.lit(1)).alias("rows_scored")).withColumn("violations", F.lit(bad).cast("bigint"))
+    """The ten documents whose token sets are nearest to the first one's, itself among them: one pass over all sets, as
+    hashing them all is, in which none is missed. Texts without tokens have no distance."""
+    rows = wide(spark, sf, "documents", "doc_id", "text").select("doc_id", T.token_set("text").alias("tokens")).where(F.size("tokens") > 0)
+    key = rows.orderBy("doc_id").first()["tokens"]
+    return setjoin.nearest_sets(rows, key, 10, "doc_id").select("rank", F.col("id").alias("doc_id"), r6("distance").alias("distance"))

@@ -72,3 +72,20 @@ def test_prefix_span_on_itemset_sequences(spark):
     df = spark.createDataFrame(rows, "sequence array<array<int>>")
     found = {tuple(tuple(s) for s in r["sequence"]): r["freq"] for r in pat.frequent_sequences(df, 0.5).collect()}
     assert found == {((1,),): 3, ((2,),): 3, ((3,),): 2, ((1, 2),): 3, ((1,), (3,)): 2}
+
+
+@pytest.mark.parametrize("per_shard", [3, 1000])
+def test_itemset_sequences_match_prefix_span(spark, per_shard):
+    rng = random.Random(12)
+    sequences = {u: [sorted(rng.sample("abcd", rng.randrange(1, 4))) for _ in range(rng.randrange(1, 5))] for u in range(40)}
+    sequences[0] = [sorted(rng.sample("abcd", rng.randrange(1, 4))) for _ in range(60)]
+    events = [(u, t, i) for u, steps in sequences.items() for t, items in enumerate(steps) for i in items]
+    events += [events[0], (1, None, "a"), (2, 0, None)]
+    df = spark.createDataFrame(events, "u int, t int, item string")
+    got = pat.frequent_itemset_sequences(df, ["u"], "t", "item", 0.4, 4, per_shard).collect()
+    arrays = spark.createDataFrame([(s,) for s in sequences.values()], "sequence array<array<string>>")
+    expected = pat.frequent_sequences(arrays, 0.4, 4).collect()
+    plain = lambda sequence: tuple(tuple(sorted(x)) for x in sequence)
+    assert {plain(r["pattern"]): r["freq"] for r in got} == {plain(r["sequence"]): r["freq"] for r in expected}
+    assert len(got) == len(expected) > 20
+    assert pat.frequent_itemset_sequences(df.limit(0), ["u"], "t", "item", 0.4).count() == 0
