@@ -26,7 +26,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import functions as F
 
 from loomframe.functions import vectors as V
-from loomframe.operators import evaluation as ev, features as feats, supervised as sup
+from loomframe.operators import evaluation as ev, features as feats, isotonic as iso, supervised as sup
 from loomframe.operators.stages import apply, chain, fitted, stage_of
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations
 
@@ -391,6 +391,23 @@ def isotonic(spark, sf):
     return apply(stage, hours).select("x", r6("prediction").alias("prediction"))
 
 
+@query(
+    "reg_isotonic_boundaries",
+    """WITH h AS (SELECT hour(ts)::DOUBLE AS x, sum(value) AS s, count(*)::DOUBLE AS n FROM events GROUP BY 1),
+            b AS (SELECT p.x, lo.x AS lo, hi.x AS hi, sum(m.s) / sum(m.n) AS v FROM h p, h lo, h hi, h m
+                  WHERE lo.x <= p.x AND hi.x >= p.x AND m.x BETWEEN lo.x AND hi.x GROUP BY 1, 2, 3),
+            g AS (SELECT x, lo, min(v) AS v FROM b GROUP BY 1, 2),
+            f AS (SELECT x, round(max(v), 6) + 0.0 AS prediction FROM g GROUP BY 1),
+            e AS (SELECT prediction, min(x) AS lo, max(x) AS hi FROM f GROUP BY 1)
+       SELECT lo AS boundary, prediction FROM e UNION SELECT hi, prediction FROM e""",
+)
+def isotonic_boundaries(spark, sf):
+    """The ends of the blocks of the mean value by hour, pooled from ranges of all events."""
+    events = table(spark, sf, "events").select(F.hour("ts").alias("x"), "value")
+    rows = iso.boundary_rows(iso.isotonic_blocks(events, "x", "value"))
+    return rows.select("boundary", r6("prediction").alias("prediction"))
+
+
 @query("reg_aft", none_broken("events"))
 def aft(spark, sf):
     events = table(spark, sf, "events")
