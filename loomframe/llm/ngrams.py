@@ -115,7 +115,8 @@ def _from_six(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-# A first word that is not frequent is in its pairs' shard as a word, so the number of its followers names it.
+# A first word that is not frequent is in its pairs' shard as a word, so the number of its followers names it. A batch
+# has a row for each shard that it asks something of, so there are no more rows than words and pairs of batches.
 ASKED = (
     "shard int, batch int, words binary, counts binary, followers binary, contexts binary, context_followers binary, "
     "next binary, pairs binary"
@@ -136,6 +137,8 @@ def _ask(shards: int, frequent: np.ndarray):
         rows = []
         for s in range(shards):
             w, p = by_word[w_ends[s] : w_ends[s + 1]], by_pair[p_ends[2 * s] : p_ends[2 * s + 2]]
+            if not len(w) and not len(p):
+                continue
             near, far = p[: p_ends[2 * s + 1] - p_ends[2 * s]], p[p_ends[2 * s + 1] - p_ends[2 * s] :]
             of = np.searchsorted(need.kinds[w], need.pair_context[near])
             contexts, followers = np.unique(need.pair_context[far], return_counts=True)

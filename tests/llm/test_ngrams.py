@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def test_scores(spark, docs):
     rows = list(enumerate(texts + texts[:30])) + [(900, None), (901, ""), (902, " \n"), (None, "w1 W1 unseen"), (903, "w1 w2 " * 30000)]
     frame = docs(rows).withColumn("batch", F.lit("clash")).withColumn("held", F.lit(1))
     want = plain(rows, ngrams.K)
-    for options in ({}, {"batch_bytes": 2000, "shard_bytes": 3000}):
+    for options in ({}, {"batch_bytes": 2000, "shard_bytes": 3000}, {"batch_bytes": 40000, "shard_bytes": 200}):
         found = ngrams.scores(frame, **options).collect()
         assert len(found) == len(rows)
         for r in found:
@@ -71,3 +72,11 @@ def test_scores(spark, docs):
     assert ngrams.scores(docs([])).count() == 0
     alone = ngrams.scores(docs([(k, "a b") for k in range(2000) if zlib.crc32(str(k).encode()) % 10 == 0][:3])).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in alone)
+
+
+def test_requests_follow_what_is_asked():
+    """However many shards there are, a batch has a row for those that it needs."""
+    text = " ".join(f"w{k % 50}" for k in range(200)).encode()
+    table = pa.table({"batch": pa.array([3], pa.int32()), "held": [False], "text": pa.array([text], pa.binary())})
+    sizes = [ngrams._ask(shards, np.zeros(0, np.uint64))(table).num_rows for shards in (4, 100, 100_000)]
+    assert sizes[0] == 4 and sizes[1] <= 100 and sizes[2] <= 51 + 52
