@@ -142,12 +142,24 @@ def libsvm(spark, sf):
     return explode_vector(back, ["label"], "features").groupBy("label", "pos").agg(r6(F.sum("value")).alias("total"))
 
 
-@query("src_text_charset", "SELECT r_name FROM region")
+HAN = "啊鹅衣哦乌"
+
+
+@query(
+    "src_text_charset",
+    f"""SELECT p_partkey || ' ' || translate(p_type, 'AEIOU', '{HAN}') AS line, NULL AS rejected FROM part
+        UNION ALL SELECT NULL, hex(encode(p_partkey::VARCHAR)) || 'FF' FROM part WHERE p_partkey % 100 = 7""",
+)
 def text_charset(spark, sf):
+    """Chinese lines written and read in GB2312, some with a byte that it does not have."""
     path = scratch_path(spark, "charset")
-    table(spark, sf, "region").select("r_name").write.text(path)
-    text = files.read_encoded_text(spark, path, "gb2312", glob="part-*")
-    return text.select(F.explode(F.split(F.rtrim("text", F.lit("\n")), "\n")).alias("r_name"))
+    parts = table(spark, sf, "part")
+    files.write_encoded_lines(parts.select(F.concat_ws(" ", "p_partkey", F.translate("p_type", "AEIOU", HAN)).alias("line")), path, "line")
+    broken = parts.where("p_partkey % 100 = 7").select(F.concat(F.col("p_partkey").cast("string").cast("binary"), F.unhex(F.lit("FF"))).cast("string").alias("value"))
+    broken.write.mode("append").text(path)
+    good, bad = files.read_encoded_lines(spark, path, "gb2312")
+    kept = good.select(F.col("text").alias("line"), F.lit(None).cast("string").alias("rejected"))
+    return kept.unionByName(bad.select(F.lit(None).cast("string").alias("line"), F.hex("raw").alias("rejected")))
 
 
 @query(

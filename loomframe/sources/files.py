@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 
@@ -103,14 +103,37 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("file", (F.col("_row") + F.col("_before")).alias("line_number"), "value")
 
 
-def read_encoded_text(spark: SparkSession, path: str, charset: str = "gb2312", glob: str | None = None) -> DataFrame:
-    """``(path, text)``: whole files decoded from a charset Spark's own readers do not know."""
+def read_encoded_lines(spark: SparkSession, path: str, charset: str = "gb2312") -> tuple[DataFrame, DataFrame]:
+    """``(file, text)`` of the lines that a charset can decode and ``(file, raw)`` of the others.
 
-    @F.pandas_udf("string")
-    def decode(content: pd.Series) -> pd.Series:
-        return content.map(lambda raw: bytes(raw).decode(charset))
-
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", decode("content").alias("text"))
+    Files are cut at newline bytes by Spark's own reader, so a large file is read by as many tasks as it has blocks; a
+    charset must not use that byte within a character, as UTF-16 does (ValueError). Lines are decoded by the batch.
+    """
+    if "\n".encode(charset) != b"\n" or len("\n\n".encode(charset)) != 2:
+        raise ValueError(f"lines of {charset} do not end in a newline byte")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts: list[str | None] = []
+            for raw in batch.column("raw").to_pylist():
+                try:
+                    texts.append(raw.decode(charset))
+                except UnicodeDecodeError:
+                    texts.append(None)
+            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], ["file", "raw", "text"])
+
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("raw"))
+    decoded = lines.mapInArrow(run, "file string, raw binary, text string")
+    return decoded.where("text IS NOT NULL").select("file", "text"), decoded.where("text IS NULL").select("file", "raw")
+
+
+def write_encoded_lines(lines: DataFrame, path: str, column: str, charset: str = "gb2312") -> None:
+    """A text column as lines in a charset; what it cannot hold raises."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [None if t is None else t.encode(charset) for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(raw, pa.binary())], ["raw"])
+
+    encoded = lines.select(F.col(column).alias("text")).mapInArrow(run, "raw binary")
+    encoded.select(F.coalesce(F.col("raw").cast("string"), F.lit("")).alias("value")).write.text(path)

@@ -36,7 +36,8 @@ def test_labelled_text_keeps_the_whole_message(spark):
 
 def test_chinese_text_in_its_own_charset(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes("利润缩减\n股价上涨".encode("gb2312"))
-    assert files.read_encoded_text(spark, str(tmp_path)).first()["text"] == "利润缩减\n股价上涨"
+    good, bad = files.read_encoded_lines(spark, str(tmp_path))
+    assert sorted(r["text"] for r in good.collect()) == ["利润缩减", "股价上涨"] and bad.count() == 0
 
 
 def test_line_numbers_across_file_blocks(spark, tmp_path):
@@ -64,3 +65,24 @@ def test_malformed_csv_row_becomes_null_not_failure(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id,text,label\n7,fine,1.0\n8,missing-4.0\n")
     rows = files.read_csv(spark, str(tmp_path / "t.csv"), "id int, text string, label double", header=True)
     assert [tuple(r) for r in rows.orderBy("id").collect()] == [(7, "fine", 1.0), (8, "missing-4.0", None)]
+
+
+def test_encoded_lines_in_blocks_and_a_broken_one(spark, tmp_path):
+    lines = [f"第{k}行 利润缩减" * (k % 9 + 1) for k in range(3000)] + [""]
+    raw = "\n".join(lines).encode("gb2312").split(b"\n")
+    raw[1234] = raw[1234][:3] + b"\xff" + raw[1234][3:]
+    (tmp_path / "a.txt").write_bytes(b"\n".join(raw) + b"\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        good, bad = files.read_encoded_lines(spark, str(tmp_path))
+        assert good.rdd.getNumPartitions() > 4
+        assert sorted(r["text"] for r in good.collect()) == sorted(lines[:1234] + lines[1235:])
+        assert [bytes(r["raw"]) for r in bad.collect()] == [raw[1234]]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    files.write_encoded_lines(good.limit(50), str(tmp_path / "out"), "text")
+    again, broken = files.read_encoded_lines(spark, str(tmp_path / "out"))
+    assert again.count() == 50 and broken.count() == 0
+    with pytest.raises(ValueError):
+        files.read_encoded_lines(spark, str(tmp_path), "utf-16")
