@@ -126,7 +126,8 @@ def op7_token_packing(spark: SparkSession, sf: str) -> DataFrame:
         FROM documents),
     s AS (
         SELECT source, sum(size)::BIGINT AS source_size,
-               [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+               ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT AS turn, [3.0, 1.0, 2.0][turn]::DOUBLE AS weight,
+               [4.0, 0.5, 1.0][turn]::DOUBLE AS a, [2.0, 1.5, 3.0][turn]::DOUBLE AS b
         FROM d GROUP BY source),
     f AS (
         SELECT *, 2.0::DOUBLE * source_size AS fill, 1.5::DOUBLE * sum(source_size) OVER () AS demand FROM s),
@@ -137,30 +138,33 @@ def op7_token_packing(spark: SparkSession, sf: str) -> DataFrame:
                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) * weight, false) AS is_full
         FROM f),
     t AS (
-        SELECT source, source_size,
+        SELECT source, source_size, a, b,
                CASE WHEN is_full THEN fill
                     ELSE (demand - coalesce(sum(CASE WHEN is_full THEN fill END) OVER (), 0)) * weight
                          / sum(CASE WHEN NOT is_full THEN weight END) OVER () END AS target
         FROM l),
     r AS (
-        SELECT d.*, t.source_size, t.target,
+        SELECT d.*, t.source_size, t.target, t.a, t.b,
                coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY rank, doc_id, size
                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
-        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-    SELECT doc_id, size, source_size, target,
-           (CASE WHEN size > 0 THEN greatest(0, least(2, ceil((target - (done + size / 2)) / source_size))) ELSE 0 END
-            * size)::BIGINT AS taken
-    FROM r
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    c AS (
+        SELECT *, (CASE WHEN size > 0 THEN greatest(0, least(2, ceil((target - (done + size / 2)) / source_size))) ELSE 0 END)::INT AS copies,
+               least((done + size / 2) / target, 1.0) AS share
+        FROM r)
+    SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies,
+           round(CASE WHEN copies > 0 THEN (sqrt(a * a + (b - a) * (a + b) * share) - a) / (b - a) END, 6) AS position
+    FROM c
     """,
 )
 def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of each document a mix of all sources takes, in the order of its curriculum.
 
-    The schedules' integrals are 3, 1, 2 in turn. Rows are range-sorted by the position of their first copy, those that
-    are not taken come last.
+    The schedules' integrals are 3, 1, 2 in turn. Rows are range-sorted by the position of their first copy, between 0 and
+    1 of the training; those that are not taken come last, without one.
     """
     planned = mixing.plan(mixing.measured(table(spark, sf, "documents")), [[4, 2], [0.5, 1.5], [1, 3]], 1.5, 2)
-    return mixing.in_order(planned).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixing.in_order(planned).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "copies", F.round("position", 6).alias("position"))
 
 
 @query("op9_lm_scores")
