@@ -204,6 +204,33 @@ def string_index(spark, sf):
     return apply(StringIndexer(inputCol="o_orderpriority", outputCol="idx"), orders).select("o_orderkey", "idx")
 
 
+WIDE_INDEX_SQL = """i AS (SELECT l_partkey::VARCHAR AS v, row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) - 1 AS idx
+                    FROM lineitem GROUP BY 1)"""
+
+
+@query(
+    "feat_string_index_wide",
+    f"WITH {WIDE_INDEX_SQL} SELECT l_orderkey, l_linenumber, CAST(idx AS DOUBLE) AS idx FROM lineitem JOIN i ON l_partkey::VARCHAR = v",
+)
+def string_index_wide(spark, sf):
+    """The index of a column of very many values, as a table."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return ops.with_index(lines, "part", ops.value_index(lines, "part"), "idx").select("l_orderkey", "l_linenumber", "idx")
+
+
+@query(
+    "feat_one_hot_wide",
+    f"""WITH {WIDE_INDEX_SQL}, t AS (SELECT l_orderkey * 8 + l_linenumber AS line, idx FROM lineitem JOIN i ON l_partkey::VARCHAR = v)
+        SELECT line, idx AS pos, 1.0::DOUBLE AS value FROM t WHERE idx < (SELECT count(*) - 1 FROM i)""",
+)
+def one_hot_wide(spark, sf):
+    """The stored entries of one-hot vectors over the same values, without the last one."""
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    lines = table(spark, sf, "lineitem").select(line, F.col("l_partkey").cast("string").alias("part"))
+    index = ops.value_index(lines, "part")
+    return ops.hot_rows(ops.with_index(lines, "part", index, "idx"), "line", "idx", index.count())
+
+
 @query("feat_index_to_string", "SELECT o_orderkey, o_orderpriority AS original, o_orderpriority AS given FROM orders")
 def index_to_string(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.ml.feature import StringIndexer
 
 from loomframe.operators import features as ops, statistics as st
 
@@ -18,6 +19,21 @@ def test_term_counts_and_weights(spark):
     assert weights[1, "a"] == pytest.approx(2 * math.log(5 / 2)) and weights[2, "b"] == pytest.approx(math.log(5 / 3))
 
 
+def test_value_index_is_the_built_in_one(spark):
+    rows = [(k, f"v{(k * k) % 37:02d}") for k in range(500)] + [(900 + k, "hot") for k in range(300)] + [(2000, None)]
+    df = spark.createDataFrame(rows, "id int, v string")
+    index = ops.value_index(df, "v")
+    own = {r["id"]: r["i"] for r in ops.with_index(df, "v", index, "i", missing="null").collect()}
+    known = df.where("v IS NOT NULL")
+    built = {r["id"]: r["i"] for r in StringIndexer(inputCol="v", outputCol="i").fit(known).transform(known).collect()}
+    assert own == {**built, 2000: None}
+    hot = ops.hot_rows(ops.with_index(known, "v", index, "i"), "id", "i", index.count()).collect()
+    last = max(built.values())
+    assert {(r["id"], r["pos"]) for r in hot} == {(k, int(i)) for k, i in built.items() if i < last}
+    with pytest.raises(Exception, match="no dictionary entry"):
+        ops.with_index(df.where("v IS NOT NULL"), "v", index.where("value <> 'hot'"), "i").collect()
+
+
 def test_rank_correlations_with_a_shared_value(spark):
     rows = [(0.0 if k % 3 else float(k), float((k * 7) % 50), float(-k)) for k in range(300)]
 
