@@ -1,24 +1,30 @@
 """Topics of documents by variational inference on a table of term counts.
 
-Topics are a table with a row per term. A pass joins the counts with their terms' rows, settles each document's mix of
-topics on its own terms, and adds up what its terms give to the topics; the next topics are a grouped sum. The bound on
-the log-likelihood never falls from pass to pass, and passes end when it hardly rises. Only the topics' totals and the
-bound, a number per topic, reach the driver.
+Topics are a table with a row per term. Documents are dealt over groups. In a pass each group fetches the rows of its own
+terms once, settles its documents' mixes of topics together, and adds up what the terms give to the topics; the next
+topics are a grouped sum. The bound on the log-likelihood never falls from pass to pass, and passes end when it hardly
+rises. Only the topics' totals and the bound, a number per topic, reach the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomframe.operators.ordering import dictionary
 from loomframe.operators.relational import lookup
 from loomframe.session import drop_written, materialise
 
+# Entries of the documents of a group, and of those that are settled at once.
+GROUP_ENTRIES = 4_000_000
+PIECE_ENTRIES = 20_000
+
 
 def digamma(x: np.ndarray) -> np.ndarray:
     """The derivative of :func:`log_gamma`."""
@@ -82,23 +88,38 @@ def _expected(weights: DataFrame, totals: np.ndarray, eta: float) -> DataFrame:
     return weights.mapInArrow(run, "no bigint, expected array<double>, part double")
 
 
-def _settle(counts: np.ndarray, expected: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """``(gamma, what each term gives to the topics, bound)`` of one document."""
-    k = expected.shape[1]
-    gamma = np.full(k, alpha + counts.sum() / k)
+def _settle(counts: np.ndarray, doc: np.ndarray, expected: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(gamma, what each entry gives to the topics, bound)`` of documents, each iterated until its own mix is settled.
+
+    ``doc`` numbers the document of each entry from 0, ascending; every document has an entry.
+    """
+    k, first = expected.shape[1], np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    gamma = alpha + np.repeat(np.add.reduceat(counts, first)[:, None] / k, k, axis=1)
+    mix = lambda g: digamma(g) - digamma(g.sum(axis=1))[:, None]
+    # A row per topic, so that all steps run along the entries.
+    by_topic = np.ascontiguousarray(expected.T)
+    live, n, e, at, starts = np.arange(len(first)), counts, by_topic, doc, first
+    going = np.ones(len(live), bool)
     for _ in range(100):
-        theta = np.exp(digamma(gamma) - digamma(gamma.sum()))
-        norm = expected @ theta + 1e-100
-        moved = alpha + theta * (expected.T @ (counts / norm))
-        change = np.abs(moved - gamma).mean()
-        gamma = moved
-        if change < 1e-4:
+        theta = np.exp(mix(gamma[live]))
+        norm = (e * np.ascontiguousarray(theta.T).take(at, axis=1)).sum(axis=0) + 1e-100
+        moved = alpha + theta * np.add.reduceat(e * (n / norm), starts, axis=1).T
+        settled = np.abs(moved - gamma[live]).mean(axis=1) < 1e-4
+        gamma[live[going]] = moved[going]
+        going &= ~settled
+        if not going.any():
             break
-    logs = digamma(gamma) - digamma(gamma.sum())
-    theta = np.exp(logs)
-    norm = expected @ theta + 1e-100
-    given = expected * theta * (counts / norm)[:, None]
-    bound = float(counts @ np.log(norm) + ((alpha - gamma) * logs + log_gamma(gamma)).sum() - log_gamma(gamma.sum()))
+        if going[at].mean() < 0.7:
+            kept = going[at]
+            n, e, at = n[kept], e[:, kept], (np.cumsum(going) - 1)[at[kept]]
+            live, going = live[going], going[going]
+            starts = np.searchsorted(at, np.arange(len(live)))
+    logs = mix(gamma)
+    wide = np.exp(logs)[doc]
+    norm = (expected * wide).sum(axis=1) + 1e-100
+    given = expected * wide * (counts / norm)[:, None]
+    bound = np.add.reduceat(counts * np.log(norm), first)
+    bound += ((alpha - gamma) * logs + log_gamma(gamma)).sum(axis=1) - log_gamma(gamma.sum(axis=1))
     return gamma, given, bound + float(log_gamma(np.array(alpha * k)) - k * log_gamma(np.array(alpha)))
 
 
@@ -119,28 +140,37 @@ def fit_topics(counts: DataFrame, k: int, passes: int = 20, tolerance: float = 1
     weights = materialise(start.select("no", F.array(*[eta + F.col("n") / k * d for d in drawn]).alias("weights")), "topics")
     totals_of = lambda df: np.array(df.agg(*[F.sum(F.get("weights", F.lit(t))) for t in range(k)]).first(), np.float64)
     kind = dict(counts.dtypes)["key"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, gammas, bounds, numbers, given = [], [], [], [], []
-            for i in range(len(batch)):
-                entry = batch.column("entries")[i].values
-                no, n = entry.field("no").to_numpy(), entry.field("n").to_numpy()
-                expected = entry.field("expected").flatten().to_numpy().reshape(-1, k)
-                gamma, adds, bound = _settle(n, expected, alpha)
-                gammas.append(gamma)
-                bounds.append(bound)
-                numbers.append(no)
-                given.append(adds)
-            if not gammas:
-                continue
-            no, at = np.unique(np.concatenate(numbers), return_inverse=True)
-            total = np.zeros((len(no), k))
-            np.add.at(total, at, np.concatenate(given))
-            keys = pa.concat_arrays([batch.column("key"), pa.nulls(len(no), batch.schema.field("key").type)])
-            values = pa.concat_arrays([_lists(np.array(gammas)), _lists(total)])
-            bound = pa.array([*bounds, *[None] * len(no)], pa.float64())
-            yield pa.record_batch([keys, pa.array([*[None] * len(batch), *no.tolist()], pa.int64()), values, bound], ["key", "no", "values", "bound"])
+    # Documents are dealt over groups; a group fetches the rows of its own terms, once each, and gives back as many.
+    entries, width = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    groups = max(math.ceil(entries / GROUP_ENTRIES), min(width, math.ceil(entries / PIECE_ENTRIES)))
+    group = F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("group")
+    packed = rows.groupBy("key").agg(F.collect_list(F.struct("no", "n")).alias("entries"))
+    packed = materialise(packed.select(group, "key", "entries.no", "entries.n"), "packed")
+    asked = materialise(packed.select(F.col("group").alias("asker"), F.explode("no").alias("no")).distinct(), "asked")
+    drop_written(rows)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        numbers = right.column("no").to_numpy()
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+        expected = _matrix(right.column("expected").combine_chunks(), k)[order]
+        total, none = np.zeros((len(numbers), k)), left.schema.field("key").type
+        docs = left.select(["key", "no", "n"]).combine_chunks()
+        lengths = np.asarray(pc.list_value_length(docs.column("no").combine_chunks()))
+        pieces = (np.cumsum(lengths) - 1) // PIECE_ENTRIES
+        edges = np.r_[np.flatnonzero(np.r_[True, pieces[1:] != pieces[:-1]]), len(lengths)]
+        found = []
+        for low, high in zip(edges[:-1], edges[1:]):
+            part = docs.slice(low, high - low)
+            at = np.searchsorted(numbers, part.column("no").combine_chunks().flatten().to_numpy())
+            n = part.column("n").combine_chunks().flatten().to_numpy()
+            gamma, given, bound = _settle(n, np.repeat(np.arange(high - low), lengths[low:high]), expected[at], alpha)
+            for t in range(k):
+                total[:, t] += np.bincount(at, given[:, t], len(numbers))
+            columns = [part.column("key").combine_chunks(), pa.nulls(high - low, pa.int64()), _lists(gamma), pa.array(bound)]
+            found.append(pa.table(columns, ["key", "no", "values", "bound"]))
+        columns = [pa.nulls(len(numbers), none), pa.array(numbers), _lists(total), pa.nulls(len(numbers), pa.float64())]
+        return pa.concat_tables([*found, pa.table(columns, ["key", "no", "values", "bound"])])
 
     history: list[tuple[int, float, float]] = []
     done = None
@@ -148,9 +178,9 @@ def fit_topics(counts: DataFrame, k: int, passes: int = 20, tolerance: float = 1
         totals = totals_of(weights)
         expected = materialise(_expected(weights, totals, eta), "expected")
         topics = expected.agg(F.sum("part")).first()[0] + float(k * log_gamma(np.array(v * eta)) - log_gamma(totals).sum())
-        joined = lookup(rows, expected.select("no", "expected"), "no", missing="drop")
-        entries = joined.groupBy("key").agg(F.collect_list(F.struct("no", "n", "expected")).alias("entries"))
-        step = materialise(entries.mapInArrow(run, f"key {kind}, no bigint, values array<double>, bound double"), "pass")
+        known = asked.join(expected.select("no", "expected"), "no")
+        settled = packed.groupBy("group").cogroup(known.groupBy("asker"))
+        step = materialise(settled.applyInArrow(run, f"key {kind}, no bigint, values array<double>, bound double"), "pass")
         bound = step.agg(F.sum("bound")).first()[0] + topics
         history.append((number, bound, -bound / tokens))
         ended = number + 1 == passes or (number > 0 and bound - history[-2][1] < tolerance * abs(bound))
@@ -164,6 +194,8 @@ def fit_topics(counts: DataFrame, k: int, passes: int = 20, tolerance: float = 1
         drop_written(step)
         drop_written(weights)
         weights = moved
+    for table in (packed, asked):
+        drop_written(table)
     whole = totals_of(weights)
     shares = F.array(*[F.get("weights", F.lit(t)) / float(whole[t]) for t in range(k)])
     terms = weights.join(names, "no").select("term", shares.alias("weights"))

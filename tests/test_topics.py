@@ -53,6 +53,38 @@ def test_a_single_topic_is_the_term_shares(spark):
     assert all(abs(r["weights"][0] - (sums[r["term"]] + 1) / whole) < 1e-9 for r in found.terms.collect())
 
 
+def test_documents_settled_together_are_those_settled_alone():
+    draw = np.random.default_rng(2)
+    sizes = [1, 7, 300, 2, 40]
+    doc = np.repeat(np.arange(5), sizes)
+    counts, expected = draw.integers(1, 5, len(doc)).astype(float), draw.random((len(doc), 3))
+    gamma, given, bound = topics._settle(counts, doc, expected, 1 / 3)
+    for d in range(5):
+        own = doc == d
+        # The plain iteration of one document.
+        alone = np.full(3, 1 / 3 + counts[own].sum() / 3)
+        for _ in range(100):
+            theta = np.exp(topics.digamma(alone) - topics.digamma(alone.sum()))
+            norm = expected[own] @ theta + 1e-100
+            moved = 1 / 3 + theta * (expected[own].T @ (counts[own] / norm))
+            change, alone = np.abs(moved - alone).mean(), moved
+            if change < 1e-4:
+                break
+        assert np.allclose(gamma[d], alone, rtol=1e-9)
+        one = topics._settle(counts[own], np.zeros(sizes[d], int), expected[own], 1 / 3)
+        assert np.allclose(one[1], given[own]) and np.allclose(one[2], bound[d])
+        assert np.allclose(given[own].sum(axis=1), counts[own])
+
+
+def test_groups_and_pieces_change_nothing(spark, monkeypatch):
+    whole = topics.fit_topics(planted(spark), 3, passes=4, seed=1)
+    monkeypatch.setattr(topics, "GROUP_ENTRIES", 700)
+    monkeypatch.setattr(topics, "PIECE_ENTRIES", 90)
+    parts = topics.fit_topics(planted(spark), 3, passes=4, seed=1)
+    assert np.allclose([h[1] for h in whole.history], [h[1] for h in parts.history], rtol=1e-9)
+    assert parts.documents.count() == 120
+
+
 def test_nothing_to_fit(spark):
     with pytest.raises(ValueError):
         topics.fit_topics(spark.createDataFrame([], "key long, term string, n double"), 2)
