@@ -29,6 +29,7 @@ from loomframe.functions import vectors as V
 from loomframe.operators import evaluation as ev, features as feats, isotonic as iso, supervised as sup
 from loomframe.operators.stages import apply, chain, fitted, stage_of
 from loomframe.queries.registry import far, none_broken, query, r6, table, violations
+from loomframe.session import bounded
 
 SEED = 17
 NUMERIC = ["l_quantity", "l_discount", "l_tax", "price"]
@@ -169,7 +170,7 @@ def tree(spark, sf):
     rows = _lines(spark, sf).select(
         x.alias("x"), F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("label"), V.dense_vector([x]).alias("features")
     )
-    scored = apply(DecisionTreeClassifier(maxDepth=1, impurity="gini", seed=SEED), rows)
+    scored = fitted(DecisionTreeClassifier(maxDepth=1, impurity="gini", seed=SEED), bounded(rows)).transform(rows)
     per = scored.groupBy("x", "prediction").agg(
         F.avg(V.vector_array("probability")[1]).alias("p"), F.count(F.lit(1)).alias("n")
     )
@@ -191,7 +192,8 @@ def _consistent(scored, label="kind"):
 @query("clf_forest", none_broken("lineitem"))
 def forest(spark, sf):
     stage = RandomForestClassifier(labelCol="kind", numTrees=9, maxDepth=5, impurity="gini", seed=SEED)
-    return _consistent(apply(stage, _lines(spark, sf)))
+    rows = _lines(spark, sf).select("kind", "features")
+    return _consistent(fitted(stage, bounded(rows)).transform(rows))
 
 
 @query(
@@ -202,7 +204,8 @@ def forest(spark, sf):
 def gbt(spark, sf):
     """Dear line items by both losses."""
     rows = _lines(spark, sf).withColumn("label", F.when(F.col("price") > 4, 1.0).otherwise(0.0))
-    scored = apply(GBTClassifier(maxIter=5, maxDepth=3, seed=SEED), rows)
+    train = bounded(rows.select("label", "features"))
+    scored = fitted(GBTClassifier(maxIter=5, maxDepth=3, seed=SEED), train).transform(rows)
     raw = V.vector_array("rawPrediction")[1]
     p = V.vector_array("probability")[1]
     wrong = far(p, 1 / (1 + F.exp(-2 * raw)), 1e-9) | (F.col("prediction") != F.when(raw > 0, 1.0).otherwise(0.0))
@@ -210,7 +213,7 @@ def gbt(spark, sf):
     # No better than the commonest label: nothing learnt.
     learnt = lambda df: df.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] > common
     logistic_loss = violations(scored, wrong | F.lit(not learnt(scored))).withColumn("loss", F.lit("logistic"))
-    booster = sup.SquaredLossBooster(SEED, depth=3, rounds=5).fit(rows)
+    booster = sup.SquaredLossBooster(SEED, depth=3, rounds=5).fit(train)
     squared = booster.transform(rows)
     sign = F.col("prediction") != F.when(F.col("score") > 0, 1.0).otherwise(0.0)
     unsound = sign | (F.abs("score") > 10) | F.lit(not learnt(squared))
@@ -347,7 +350,8 @@ def glm_summary(spark, sf):
 def regression_tree(spark, sf):
     x = F.when(F.col("l_quantity") > 25, 1).otherwise(0)
     rows = _lines(spark, sf).select(x.alias("x"), "l_extendedprice", V.dense_vector([x]).alias("features"))
-    scored = apply(DecisionTreeRegressor(labelCol="l_extendedprice", maxDepth=1, impurity="variance", seed=SEED), rows)
+    stage = DecisionTreeRegressor(labelCol="l_extendedprice", maxDepth=1, impurity="variance", seed=SEED)
+    scored = fitted(stage, bounded(rows)).transform(rows)
     return scored.groupBy("x").agg(F.round(F.avg("prediction"), 4).alias("prediction"), F.count(F.lit(1)).alias("n"))
 
 
@@ -357,7 +361,7 @@ def regression_forest(spark, sf):
     stage = RandomForestRegressor(
         labelCol="l_extendedprice", numTrees=8, featureSubsetStrategy="onethird", maxDepth=6, maxBins=32, seed=SEED
     )
-    scored = apply(stage, rows)
+    scored = fitted(stage, bounded(rows.select("l_extendedprice", "features"))).transform(rows)
     low, high = rows.agg(F.min("l_extendedprice")).scalar(), rows.agg(F.max("l_extendedprice")).scalar()
     fit = ev.regression_metrics(scored, "l_extendedprice", "prediction").select("r2").scalar()
     return violations(scored, (F.col("prediction") < low) | (F.col("prediction") > high) | ~F.coalesce(fit > 0.1, F.lit(False)))
@@ -368,7 +372,7 @@ def regression_gbt(spark, sf):
     """The charge of line items; a model without rounds explains none of it."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     rows = _lines(spark, sf).select(charge.alias("charge"), V.dense_vector(["l_quantity", "price", "l_discount", "l_tax"]).alias("features"))
-    scored = apply(GBTRegressor(labelCol="charge", maxIter=5, maxDepth=4, seed=SEED), rows)
+    scored = fitted(GBTRegressor(labelCol="charge", maxIter=5, maxDepth=4, seed=SEED), bounded(rows)).transform(rows)
     fit = ev.regression_metrics(scored, "charge", "prediction").select("r2").scalar()
     return violations(scored, F.col("prediction").isNull() | ~F.coalesce(fit > 0.5, F.lit(False)))
 
@@ -460,7 +464,7 @@ def model_explain(spark, sf):
     expected = (
         value("l_quantity") * F.col("l_quantity") + value("l_discount") * F.col("l_discount") + value("(intercept)")
     )
-    tree = fitted(DecisionTreeClassifier(labelCol="kind", maxDepth=4, seed=SEED), rows)
+    tree = fitted(DecisionTreeClassifier(labelCol="kind", maxDepth=4, seed=SEED), bounded(rows))
     by_rules = sup.rules_prediction(sup.tree_rows(spark, tree), "features")
     clusters = fitted(KMeans(k=3, maxIter=5, seed=SEED), rows)
     by_centres = sup.nearest_centre(sup.centre_rows(spark, clusters), "features")

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomframe import session as ses
 
@@ -37,3 +38,11 @@ def test_balanced_leaves_wide_frames_alone(spark):
     wide = spark.range(0, 1000, 1, 64)
     assert ses.balanced(wide) is wide
     assert ses.balanced(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_bounded_deals_rows_over_tasks(spark, tmp_path):
+    spark.range(0, 5000, 1, 1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    parts = ses.bounded(table, 500).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 5000 and max(r["count"] for r in parts) <= 600
+    assert ses.bounded(table, 5000) is table
