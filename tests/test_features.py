@@ -51,3 +51,13 @@ def test_rank_correlations_with_a_shared_value(spark):
     assert len(found) == 9
     for (i, j), value in found.items():
         assert value == pytest.approx(corr(columns[i], columns[j]))
+
+
+def test_term_counts_are_shuffled_once_for_both_uses(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"])], "id int, w array<string>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ops.term_counts(rows, "id", "w", min_df=2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in plan
