@@ -109,7 +109,8 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     counts = rows.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    found = rows.join(before, "_bucket").withColumn("slot", F.col("_before") + F.col("_place"))
+    # A row per bucket; the planner cannot know how few they are and would shuffle all rows to meet them.
+    found = rows.join(F.broadcast(before), "_bucket").withColumn("slot", F.col("_before") + F.col("_place"))
     return found.drop("_bucket", "_before", "_place")
 
 

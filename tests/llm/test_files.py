@@ -154,3 +154,18 @@ def test_shards_with_a_hot_key(spark, docs):
         assert slots == list(range(len(slots)))
     sizes = sharding.scattered(docs(rows), 4, "doc_id", "text", 1, 2000).groupBy("_bucket").agg(F.sum(sharding.text_bytes("text")).alias("n"))
     assert sizes.agg(F.max("n")).first()[0] < 3 * 2000
+
+
+def test_bucket_offsets_do_not_shuffle_the_rows(spark, docs, tmp_path):
+    """The rows are shuffled into buckets once; to learn where their bucket begins they stay where they are."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frame = docs([(k, f"text {k}") for k in range(100)])
+        schema = sharding.write_shards(frame, 4, str(tmp_path / "shards"), bucket_bytes=256)
+        found = sharding.read_shards(spark, str(tmp_path / "shards"), schema)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
