@@ -11,6 +11,10 @@ from loomframe.operators.relational import item_key, lookup, top_k_per_key
 from loomframe.session import materialise
 
 
+#: Baskets of one task that meets them with rules, at most about.
+TASK_BASKETS = 50_000
+
+
 def baskets(df: DataFrame, basket: str, item: str, min_support: float | None = None) -> DataFrame:
     """``(basket, items)`` with distinct items.
 
@@ -57,16 +61,21 @@ def implied_items(df: DataFrame, model: FPGrowthModel, key: str) -> DataFrame:
     """``df (key, items)`` with ``prediction``: consequents of all rules whose antecedent a basket holds, but for its own items.
 
     Baskets meet the rules on the antecedents' items, and a rule fires where as many of them met as it has; the rules
-    stay a table, and no basket is tested against a rule that it shares nothing with.
+    stay a table, and no basket is tested against a rule that it shares nothing with. What meets is a row for each basket,
+    rule and item, so baskets are dealt once, into parts of bounded size, and counted where they are.
     """
     rules = model.associationRules.select("antecedent", F.get("consequent", F.lit(0)).alias("_then"))
-    rules = rules.withColumn("_rule", item_key("antecedent"))
+    rules = rules.withColumn("_rule", F.monotonically_increasing_id())
     parts = rules.select("_rule", F.size("antecedent").alias("_need"), "_then", F.explode("antecedent").alias("_item"))
-    held = df.select(key, F.explode("items").alias("_item")).distinct()
-    met = held.join(parts, "_item").groupBy(key, "_rule", "_then", "_need").agg(F.count(F.lit(1)).alias("_met"))
-    implied = met.where(F.col("_met") == F.col("_need")).select(key, F.col("_then").alias("_item")).distinct()
-    new = implied.join(held, [key, "_item"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias("prediction"))
-    joined = df.join(new, key, "left")
+    parts = materialise(parts, "rules")
+    whole = materialise(df, "asked")
+    dealt = whole.repartition(max(1, math.ceil(whole.count() / TASK_BASKETS)), key)
+    held = dealt.select(key, F.explode("items").alias("_item")).distinct()
+    met = lookup(held, parts, "_item", missing="drop").groupBy(key, "_rule", "_then", "_need").agg(F.count(F.lit(1)).alias("_met"))
+    implied = met.where(F.col("_met") == F.col("_need")).groupBy(key).agg(F.collect_set("_then").alias("_implied"))
+    own = held.groupBy(key).agg(F.collect_list("_item").alias("_own"))
+    new = implied.join(own, key).select(key, F.array_sort(F.array_except("_implied", "_own")).alias("prediction"))
+    joined = dealt.join(new, key, "left")
     return joined.withColumn("prediction", F.coalesce("prediction", F.slice("items", 1, 0)))
 
 

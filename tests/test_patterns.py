@@ -89,3 +89,26 @@ def test_itemset_sequences_match_prefix_span(spark, per_shard):
     assert {plain(r["pattern"]): r["freq"] for r in got} == {plain(r["sequence"]): r["freq"] for r in expected}
     assert len(got) == len(expected) > 20
     assert pat.frequent_itemset_sequences(df.limit(0), ["u"], "t", "item", 0.4).count() == 0
+
+
+def test_baskets_meet_the_rules_in_parts_of_bounded_size(spark, monkeypatch):
+    """Baskets are dealt once, into as many parts as their number asks for; rows per basket and rule are not moved."""
+    monkeypatch.setattr(pat, "TASK_BASKETS", 20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = [(k, [x for i, x in enumerate("abcde") if (k >> i) & 1 or (k + i) % 3 == 0]) for k in range(200)]
+        rows += [(3, ["a"]), (None, ["a", "b"]), (300, [])]
+        frame = spark.createDataFrame(rows, "o long, items array<string>")
+        model = pat.mine(frame, 0.2, 0.3)
+        found = pat.implied_items(frame, model, "o")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ENSURE_REQUIREMENTS" not in plan and "hashpartitioning(o#" in plan and ", 11), REPARTITION_BY_NUM" in plan
+        rules = [(set(r.antecedent), r.consequent[0]) for r in model.associationRules.collect()]
+        held = {}
+        for o, items in rows:
+            held.setdefault(o, set()).update(items)
+        want = [(o, tuple(items), tuple(sorted({c for a, c in rules if o is not None and a <= held[o]} - held[o]))) for o, items in rows]
+        got = [(r.o, tuple(r["items"]), tuple(r.prediction)) for r in found.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str) and any(w[2] for w in want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
