@@ -26,22 +26,32 @@ def component_rows(spark, model) -> DataFrame:
 
 
 def responsibilities(components: DataFrame, features: str) -> Column:
-    """The probability of each component for a row, from the rows of :func:`component_rows`."""
-    x, logs = vector_array(features), []
+    """The probability of each component for a row, from the rows of :func:`component_rows`.
+
+    Each step is an array that the next one takes as the variable of a lambda function: written out, it would be computed
+    again wherever it is named, the logs some ``components ** 2`` times over for each result.
+    """
+    shapes = []
     for row in components.orderBy("component").collect():
         mean, width = np.array(row["mean"]), len(row["mean"])
         values, axes = np.linalg.eigh(np.array(row["covariance"]).reshape(width, width))
         whitened = axes / np.sqrt(values)
+        shapes.append((float(np.log(row["weight"]) - np.log(values).sum() / 2), mean, whitened.T))
+
+    def log(x: Column, level: float, mean: np.ndarray, axes: np.ndarray) -> Column:
         # The squared length of the whitened row, an axis at a time.
         distance = F.lit(0.0)
-        for axis in whitened.T:
+        for axis in axes:
             weights, shift = F.array(*[F.lit(float(w)) for w in axis]), float(axis @ mean)
             along = F.aggregate(F.zip_with(x, weights, lambda a, b: a * b), F.lit(-shift), lambda acc, v: acc + v)
-            distance = distance + along * along
-        logs.append(F.lit(float(np.log(row["weight"]) - np.log(values).sum() / 2)) - distance / 2)
-    highest = F.greatest(*logs)
-    parts = F.array(*[F.exp(value - highest) for value in logs])
-    return F.transform(parts, lambda v: v / F.aggregate(parts, F.lit(0.0), lambda acc, y: acc + y))
+            distance = distance + F.pow(along, F.lit(2))
+        return F.lit(level) - distance / 2
+
+    logs = F.transform(F.array(vector_array(features)), lambda x: F.array(*[log(x, *shape) for shape in shapes]))
+    highest = F.transform(logs, lambda found: F.struct(found.alias("logs"), F.array_max(found).alias("top")))
+    parts = F.transform(highest, lambda h: F.transform(h["logs"], lambda value: F.exp(value - h["top"])))
+    totals = F.transform(parts, lambda p: F.struct(p.alias("parts"), F.aggregate(p, F.lit(0.0), lambda acc, y: acc + y).alias("sum")))
+    return F.get(F.transform(totals, lambda t: F.transform(t["parts"], lambda v: v / t["sum"])), F.lit(0))
 
 
 def undirected_edges(edges: DataFrame, src: str, dst: str, weight: str) -> DataFrame:
