@@ -7,7 +7,7 @@ come before" into the time, or position, of a document. Copies of documents are
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -114,17 +114,21 @@ def plan(sized: DataFrame, schedules: Sequence[Sequence[float]], share: float, c
     inside = Window.partitionBy("source", "_stretch").orderBy("rank", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     out = joined.withColumn("done", before)
-    middle = F.col("done") + F.col("size") / 2
-    copies = F.ceil((F.col("target") - middle) / F.col("source_size"))
-    copies = F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(F.lit(cap), copies))).otherwise(F.lit(0)).cast("int")
-    return out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop("_stretch", "_offset")
+    return out.withColumn("copies", _copies(cap)).withColumn("taken", F.col("copies") * F.col("size")).drop("_stretch", "_offset")
 
 
-def _times() -> Column:
+def _copies(cap: int, of: Callable[[str], Column] = F.col) -> Column:
+    """How often a row is taken that has ``done`` words of its source before it; ``of`` gives its columns by name."""
+    middle = of("done") + of("size") / 2
+    copies = F.ceil((of("target") - middle) / of("source_size"))
+    return F.when(of("size") > 0, F.greatest(F.lit(0), F.least(F.lit(cap), copies))).otherwise(F.lit(0)).cast("int")
+
+
+def _times(of: Callable[[str], Column] = F.col) -> Column:
     """``(position, copy)`` of each copy that a row of :func:`plan` is taken as; none for rows not taken."""
-    passed = lambda copy: copy * F.col("source_size") + F.col("done") + F.col("size") / 2
-    time = lambda copy: position(F.col("knots"), F.least(passed(copy) / F.col("target"), F.lit(1.0)))
-    copies = F.filter(F.sequence(F.lit(0), F.col("copies")), lambda c: c < F.col("copies"))
+    passed = lambda copy: copy * of("source_size") + of("done") + of("size") / 2
+    time = lambda copy: position(of("knots"), F.least(passed(copy) / of("target"), F.lit(1.0)))
+    copies = F.filter(F.sequence(F.lit(0), of("copies")), lambda c: c < of("copies"))
     return F.transform(copies, lambda c: F.struct(time(c).alias("position"), c.alias("copy")))
 
 
@@ -138,24 +142,30 @@ def in_order(planned: DataFrame) -> DataFrame:
 
 def mixed(
     docs: DataFrame, schedules: Sequence[Sequence[float]], share: float, cap: int = 2,
-    key: str = "doc_id", source: str = "source", text: str = "text",
+    key: str = "doc_id", source: str = "source", text: str = "text", ordered: bool = True,
 ) -> DataFrame:
-    """The training sequence: the columns of ``docs`` plus ``position`` and ``copy``, range-sorted by position.
+    """The training sequence: the columns of ``docs`` plus ``position`` and ``copy``, range-sorted by position if ``ordered``.
 
     A document comes once for each copy taken. Columns of ``docs`` named like the two are replaced. Documents without
     words are left out, as the mix counts words; an empty table gives an empty sequence.
     """
-    planned = materialise(plan(measured(docs, key, source, text), schedules, share, cap).where("copies > 0"), "mix")
-    # Repeated rows share their hash; they are numbered on both sides, so each takes its own place.
-    times = planned.select(
-        F.col("rank").alias("_rank"),
-        F.row_number().over(Window.partitionBy("rank").orderBy("done")).alias("_nth"),
-        _times().alias("_times"),
-    )
+    planned = plan(measured(docs, key, source, text), schedules, share, cap).where("copies > 0")
+    place = lambda rank, of: F.xxhash64(rank, of).alias("_place")
+    # Repeated rows share hash and size and follow each other, so the first one's place gives those of all. Grouped like
+    # this, and numbered by the same key below, the documents are dealt once.
+    same = planned.groupBy(place("rank", "source"), "size", "source_size", "target", "knots").agg(F.min("done").alias("done"))
+    firsts = same.select("_place", F.struct("done", "size", "source_size", "target", "knots").alias("_first"))
+    firsts = materialise(firsts, "mix")
     columns = [f"`{c}`" for c in docs.drop("position", "copy").columns]
-    rows = docs.select(*columns, rank_of(key, text).alias("_rank"))
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_rank").orderBy(F.lit(0))))
-    kept = rows.join(times, ["_rank", "_nth"]).withColumn("_t", F.explode("_times"))
-    out = kept.select(*columns, "_t.position", "_t.copy")
+    rows = docs.select(*columns, place(rank_of(key, text), F.col(source)))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_place").orderBy(F.lit(0))))
+    first = lambda name: F.col(f"_first.{name}")
+    kept = rows.join(firsts, "_place").withColumn("_done", first("done") + (F.col("_nth") - 1) * first("size"))
+    shifted = lambda name: F.col("_done") if name == "done" else first(name)
+    kept = kept.withColumn("_copies", _copies(cap, shifted))
+    timed = lambda name: F.col("_copies") if name == "copies" else shifted(name)
+    out = kept.withColumn("_t", F.explode(_times(timed))).select(*columns, "_t.position", "_t.copy")
+    if not ordered:
+        return out
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return out.repartitionByRange(parts, "position", key).sortWithinPartitions("position", key)

@@ -169,3 +169,25 @@ def test_bucket_offsets_do_not_shuffle_the_rows(spark, docs, tmp_path):
         assert found.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_mixing_deals_documents_once(spark, docs):
+    """The pipeline's mixture moved whole texts three times: to number them, to join their places, to sort them."""
+    rows = [(k, f"{k} " + "w " * (k % 7), "en", "abc"[k % 3]) for k in range(60)]
+    rows += [(100, "x y z", "en", s) for s in ("a", "b", None, "a", None)] * 3
+    frame, schedules = docs(rows), [[3, 1], [0, 2], [1]]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        loose = mixing.mixed(frame, schedules, 1.1, ordered=False)
+        plan = loose._jdf.queryExecution().executedPlan().toString()
+        found = loose.collect()
+    finally:
+        spark.conf.unset(name)
+    # The other exchange is that of the places.
+    assert plan.count("Exchange hashpartitioning") <= 2 and "rangepartitioning" not in plan
+    key = lambda r: (r["doc_id"], r["source"] or "", r["copy"], r["position"])
+    assert sorted(found, key=key) == sorted(mixing.mixed(frame, schedules, 1.1).collect(), key=key)
+    planned = mixing.plan(mixing.measured(frame), schedules, 1.1, 2).collect()
+    taken = lambda rows, n: sorted((s, sum(n(r) for r in rows if (r["source"] or "") == s)) for s in ("", "a", "b", "c"))
+    assert taken(found, lambda r: 1) == taken(planned, lambda r: r["copies"])
