@@ -147,3 +147,20 @@ def test_repeated_rows_are_judged_as_single_ones(spark, docs):
     assert len(rows) == len(often) and all(r["n_tokens"] is not None for r in rows)
     blank = [r for r in rows if r["log10_ppl"] is None]
     assert len(blank) == 21 and not any(r["kept"] for r in blank)
+
+
+def test_the_model_learns_from_all_trusted_texts_of_the_half(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "FREQUENT", 200)
+    for name, value in (("SHARD", 300), ("PACK", 500)):
+        monkeypatch.setattr(quality, name, value, raising=False)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices([f"w{k}" for k in range(60)], k=rng.randint(1, 6))) for _ in range(5000)]
+    frame = docs(list(enumerate(texts)))
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(5000)], "doc_id long, quality int, toxic int")
+    half = [r["doc_id"] for r in labels.where("pmod(xxhash64(doc_id), 2) = 0").collect()]
+    assert len(half) > 2300
+    plain = Plain([texts[k] for k in half])
+    found = {r["id"]: r for r in quality.judged(frame, labels, prior=0).collect()}
+    assert len(found) == len(texts)
+    for k in range(0, 5000, 50):
+        assert found[k]["log10_ppl"] == pytest.approx(-plain.score(texts[k]) / found[k]["n_tokens"], rel=1e-9)
