@@ -196,3 +196,25 @@ def test_iterations_leave_no_shuffles_behind(spark):
     rows.unpersist()
     assert left[1] <= left[5] - 6
     assert errors[1] == pytest.approx(errors[5], rel=1e-5)
+
+
+def test_pairs_are_dealt_once_by_user_and_once_by_item(spark):
+    model = rec.train(ratings(spark), seed=5, rank=3, iterations=2)
+    pairs = spark.createDataFrame([(0, 1), (0, 1), (3, 2), (0, 10_000), (10_000, 1)], "user long, item long")
+    own = getattr(rec, "predicted", lambda pairs, model: rec.with_factor_score(model.transform(pairs), model))
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        found = own(pairs, model)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    want = {(r["user"], r["item"]): r["prediction"] for r in model.transform(pairs).collect()}
+    assert sorted((r["user"], r["item"]) for r in rows) == [(0, 1), (0, 1), (3, 2)]
+    assert all(r["prediction"] == want[r["user"], r["item"]] and r["score"] == pytest.approx(r["prediction"], rel=1e-5) for r in rows)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(dealt) == 4  # pairs and factors, by user and by item
