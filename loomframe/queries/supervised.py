@@ -177,14 +177,20 @@ def tree(spark, sf):
     return per.select("x", F.round("p", 8).alias("p"), "prediction", "n")
 
 
+def _figure(one):
+    """The only number of a table as a literal. Models score with functions that Spark takes for random, so a subquery
+    over their scores may not stand inside an aggregate."""
+    return F.lit(one.first()[0]).cast("double")
+
+
 def _consistent(scored, label="kind"):
     """The label is the first largest probability, the probabilities sum to one, and on average they say more about the
     label than its frequencies do: a model that has learnt nothing breaks every row."""
     p = V.vector_array("probability")
     total = F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
-    surprise = scored.agg(F.avg(-F.log(F.greatest(F.get(p, F.col(label).cast("int")), F.lit(1e-12))))).scalar()
+    surprise = _figure(scored.agg(F.avg(-F.log(F.greatest(F.get(p, F.col(label).cast("int")), F.lit(1e-12))))))
     shares = scored.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    known = shares.agg((F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n"))).scalar()
+    known = _figure(shares.agg((F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n"))))
     dull = ~F.coalesce(surprise < known, F.lit(False))
     return violations(scored, (F.col("prediction") != V.argmax(p)) | far(total, F.lit(1.0), 1e-9) | dull)
 
