@@ -368,8 +368,8 @@ def regression_forest(spark, sf):
         labelCol="l_extendedprice", numTrees=8, featureSubsetStrategy="onethird", maxDepth=6, maxBins=32, seed=SEED
     )
     scored = fitted(stage, bounded(rows.select("l_extendedprice", "features"))).transform(rows)
-    low, high = rows.agg(F.min("l_extendedprice")).scalar(), rows.agg(F.max("l_extendedprice")).scalar()
-    fit = ev.regression_metrics(scored, "l_extendedprice", "prediction").select("r2").scalar()
+    low, high = (_figure(rows.agg(end("l_extendedprice"))) for end in (F.min, F.max))
+    fit = _figure(ev.regression_metrics(scored, "l_extendedprice", "prediction").select("r2"))
     return violations(scored, (F.col("prediction") < low) | (F.col("prediction") > high) | ~F.coalesce(fit > 0.1, F.lit(False)))
 
 
