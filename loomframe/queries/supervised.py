@@ -379,7 +379,7 @@ def regression_gbt(spark, sf):
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     rows = _lines(spark, sf).select(charge.alias("charge"), V.dense_vector(["l_quantity", "price", "l_discount", "l_tax"]).alias("features"))
     scored = fitted(GBTRegressor(labelCol="charge", maxIter=5, maxDepth=4, seed=SEED), bounded(rows)).transform(rows)
-    fit = ev.regression_metrics(scored, "charge", "prediction").select("r2").scalar()
+    fit = _figure(ev.regression_metrics(scored, "charge", "prediction").select("r2"))
     return violations(scored, F.col("prediction").isNull() | ~F.coalesce(fit > 0.5, F.lit(False)))
 
 

@@ -18,7 +18,7 @@ def lines(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["clf_mlp", "reg_forest"])
+@pytest.mark.parametrize("name", ["clf_mlp", "reg_forest", "reg_gbt"])
 def test_models_pass_their_own_checks(spark, lines, name):
     assert [tuple(r) for r in contract.queries()[name](spark, lines).collect()] == [(600, 0)]
 
