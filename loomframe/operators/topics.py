@@ -21,8 +21,9 @@ from loomframe.operators.ordering import dictionary
 from loomframe.operators.relational import lookup
 from loomframe.session import drop_written, materialise
 
-# Entries of the documents of a group, and of those that are settled at once.
+# Entries of the documents of a group, of those that are looked up at once, and of those that are settled together.
 GROUP_ENTRIES = 4_000_000
+PART_ENTRIES = 100_000
 PIECE_ENTRIES = 20_000
 
 
@@ -88,32 +89,53 @@ def _expected(weights: DataFrame, totals: np.ndarray, eta: float) -> DataFrame:
     return weights.mapInArrow(run, "no bigint, expected array<double>, part double")
 
 
+def _batches(lengths: np.ndarray, entries: int) -> Iterator[np.ndarray]:
+    """Documents in batches of like lengths, the longest first, of at most about that many entries."""
+    order = np.argsort(-lengths, kind="stable")
+    ranked, low = lengths[order], 0
+    while low < len(order):
+        alike = int(np.searchsorted(-ranked[low:], -0.8 * ranked[low], side="right"))
+        high = low + max(1, min(alike, entries // int(ranked[low])))
+        yield order[low:high]
+        low = high
+
+
 def _settle(counts: np.ndarray, doc: np.ndarray, expected: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(gamma, what each entry gives to the topics, bound)`` of documents, each iterated until its own mix is settled.
 
-    ``doc`` numbers the document of each entry from 0, ascending; every document has an entry.
+    ``doc`` numbers the document of each entry from 0, ascending; every document has an entry. Documents of like lengths
+    are iterated together, as products of matrices that are filled up with entries of no count.
     """
     k, first = expected.shape[1], np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    lengths = np.diff(np.r_[first, len(doc)])
     gamma = alpha + np.repeat(np.add.reduceat(counts, first)[:, None] / k, k, axis=1)
-    mix = lambda g: digamma(g) - digamma(g.sum(axis=1))[:, None]
-    # A row per topic, so that all steps run along the entries.
-    by_topic = np.ascontiguousarray(expected.T)
-    live, n, e, at, starts = np.arange(len(first)), counts, by_topic, doc, first
-    going = np.ones(len(live), bool)
-    for _ in range(100):
-        theta = np.exp(mix(gamma[live]))
-        norm = (e * np.ascontiguousarray(theta.T).take(at, axis=1)).sum(axis=0) + 1e-100
-        moved = alpha + theta * np.add.reduceat(e * (n / norm), starts, axis=1).T
-        settled = np.abs(moved - gamma[live]).mean(axis=1) < 1e-4
-        gamma[live[going]] = moved[going]
-        going &= ~settled
-        if not going.any():
-            break
-        if going[at].mean() < 0.7:
-            kept = going[at]
-            n, e, at = n[kept], e[:, kept], (np.cumsum(going) - 1)[at[kept]]
-            live, going = live[going], going[going]
-            starts = np.searchsorted(at, np.arange(len(live)))
+
+    def mix(g: np.ndarray) -> np.ndarray:
+        found = digamma(np.concatenate([g, g.sum(axis=1, keepdims=True)], axis=1))
+        return found[:, :-1] - found[:, -1:]
+
+    for live in _batches(lengths, PIECE_ENTRIES):
+        places = np.arange(lengths[live[0]])
+        inside = places < lengths[live][:, None]
+        at = np.where(inside, first[live][:, None] + places, 0)
+        n = np.where(inside, counts[at], 0.0)[:, None, :]
+        # A row per topic, so that all steps run along the entries.
+        e = np.ascontiguousarray(np.where(inside[:, :, None], expected[at], 0.0).transpose(0, 2, 1))
+        g, going = gamma[live], np.ones(len(live), bool)
+        for _ in range(100):
+            theta = np.exp(mix(g))
+            norm = theta[:, None, :] @ e + 1e-100
+            moved = alpha + theta * (e @ (n / norm).transpose(0, 2, 1))[:, :, 0]
+            settled = np.abs(moved - g).mean(axis=1) < 1e-4
+            g[going] = moved[going]
+            going &= ~settled
+            if not going.any():
+                break
+            if going.mean() < 0.7:
+                gamma[live] = g
+                n, e, g, live = n[going], e[going], g[going], live[going]
+                going = going[going]
+        gamma[live] = g
     logs = mix(gamma)
     wide = np.exp(logs)[doc]
     norm = (expected * wide).sum(axis=1) + 1e-100
@@ -157,7 +179,7 @@ def fit_topics(counts: DataFrame, k: int, passes: int = 20, tolerance: float = 1
         total, none = np.zeros((len(numbers), k)), left.schema.field("key").type
         docs = left.select(["key", "no", "n"]).combine_chunks()
         lengths = np.asarray(pc.list_value_length(docs.column("no").combine_chunks()))
-        pieces = (np.cumsum(lengths) - 1) // PIECE_ENTRIES
+        pieces = (np.cumsum(lengths) - 1) // PART_ENTRIES
         edges = np.r_[np.flatnonzero(np.r_[True, pieces[1:] != pieces[:-1]]), len(lengths)]
         found = []
         for low, high in zip(edges[:-1], edges[1:]):
